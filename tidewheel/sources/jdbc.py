@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,5 +23,5 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
 
 def latest_batch(df: DataFrame, key: str) -> DataFrame:
     """One row per key, however often its batch was written."""
-    newest = Window.partitionBy(key).orderBy(F.desc("batch_id"))
-    return df.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") == 1).drop("_n")
+    others = F.struct(*[c for c in df.columns if c != key])
+    return df.groupBy(key).agg(F.max_by(others, "batch_id").alias("_row")).select(key, "_row.*")
