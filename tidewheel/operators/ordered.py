@@ -78,6 +78,14 @@ def dense_id(df: DataFrame, order: Sequence[str | Column], name: str, slices: in
     )
 
 
+def dim_id(df: DataFrame, order: Sequence[str], name: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """:func:`dense_id` for a set of keys that is mostly small; it is stored and counted first."""
+    stored = materialise(df, "keys")
+    if stored.count() > max_group_rows:
+        return dense_id(stored, order, name)
+    return stored.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[str | Column],

@@ -9,18 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import season_of
-from .ordered import dense_id
+from .ordered import dense_id, dim_id
 
 
 def entity_dim(df: DataFrame, column: str, key: str) -> DataFrame:
     """Distinct non-null values of a column, numbered in their order."""
-    return dense_id(df.select(column).where(F.col(column).isNotNull()).distinct(), [column], key)
+    return dim_id(df.select(column).where(F.col(column).isNotNull()).distinct(), [column], key)
 
 
 def date_dim(df: DataFrame, column: str, key: str = "date_id") -> DataFrame:
     """Distinct dates with year, month, quarter and season, numbered in their order."""
     dates = df.select(F.to_date(column).alias("full_date")).where(F.col("full_date").isNotNull()).distinct()
-    return dense_id(dates, ["full_date"], key).withColumns(
+    return dim_id(dates, ["full_date"], key).withColumns(
         {
             "year": F.year("full_date"),
             "month": F.month("full_date"),
@@ -60,13 +60,13 @@ def galaxy_schema(
     without entity is left out, one without date keeps a null ``date_id``. All facts
     read the one stored, numbered table and only their own columns of it.
     """
-    entities = entity_dim(df, entity, "entity_id")
-    dates = date_dim(df, date)
     measures = list(dict.fromkeys(c for cols in facts.values() for c in cols))
     flat = df.where(F.col(entity).isNotNull()).select(
         entity, F.to_date(date).alias("full_date"), *dict.fromkeys([*measures, *tie_break])
     )
     numbered = dense_id(flat, ["full_date", entity, *tie_break], "record_id")
+    entities = entity_dim(numbered, entity, "entity_id")  # from the stored copy, not the source again
+    dates = date_dim(df, date)
     keyed = numbered.join(entities, entity).join(dates.select("full_date", "date_id"), "full_date", "left")
     return Galaxy(
         entities, dates, {n: keyed.select("record_id", "entity_id", "date_id", *cols) for n, cols in facts.items()}

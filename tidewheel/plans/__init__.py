@@ -1,6 +1,8 @@
 """The query catalogue: each entry runs one operator over whole input tables."""
 
-from . import reports
+from . import cleaning, learning, profiling, reports
 
-QUERIES = {**reports.QUERIES}
-ORACLES = {**reports.ORACLES}
+_MODULES = (reports, profiling, cleaning, learning)
+
+QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
