@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -28,8 +29,24 @@ SOUTHERN_SEASONS = {
 }
 
 
+# Text each format letter run can match; a superset of what the parser accepts.
+_SHAPES = {"yyyy": r"[+-]?\d{4,}", "MM": r"\d{2}", "dd": r"\d{2}", "M": r"\d+", "d": r"\d+"}
+
+
+def _shape(date_format: str) -> str | None:
+    runs = re.findall(r"[A-Za-z]+|[^A-Za-z]+", date_format)
+    if any(r[0].isalpha() and r not in _SHAPES for r in runs):
+        return None
+    return "^" + "".join(_SHAPES.get(r) or re.escape(r) for r in runs) + "$"
+
+
 def _attempts(text: Column, formats: Sequence[str]) -> list[Column]:
-    return [F.try_to_date(text, fmt) for fmt in formats]
+    """A date per format. Texts of another shape are not parsed: a failed parse is costly."""
+    attempts = []
+    for fmt in formats:
+        shape, parsed = _shape(fmt), F.try_to_date(text, fmt)
+        attempts.append(parsed if shape is None else F.when(text.rlike(shape), parsed))
+    return attempts
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import materialise
 from .clean import value_counts
 from .quantiles import fit_quantiles
 
@@ -108,31 +109,43 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def describe_profile(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Schema and count, mean, deviation, minimum and maximum of numeric and string columns."""
-    fields = {f.name: f for f in df.schema.fields}
-    numeric = set(numeric_columns(df))
-    columns = [c for c in df.columns if c in numeric or c in string_columns(df)]
-    null_double, null_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-
-    def number(f):
-        return lambda c: F.round(f(F.col(c).cast("double")), digits) if c in numeric else null_double
-
-    def text(f):
-        return lambda c: null_text if c in numeric else f(c)
+    """Schema and count, mean, deviation, minimum and maximum of numeric and string columns.
 
-    return _per_column(
+    Numbers are unpivoted and aggregated per column: one short aggregate instead of
+    one per column, which would outgrow the code generator on wide tables.
+    """
+    fields = {f.name: f for f in df.schema.fields}
+    numeric, texts = numeric_columns(df), string_columns(df)
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("number")) for c in numeric]
+    numbers = (
+        df.select(F.inline(F.array(*cells or [F.struct(no_text.alias("column"), no_number.alias("number"))])))
+        .groupBy("column")
+        .agg(
+            F.count("number").alias("non_null"),
+            F.round(F.avg("number"), digits).alias("mean"),
+            F.round(F.stddev_samp("number"), digits).alias("stddev"),
+            F.round(F.min("number"), digits).alias("min_value"),
+            F.round(F.max("number"), digits).alias("max_value"),
+        )
+        .withColumns({"min_text": no_text, "max_text": no_text})
+    )
+    strings = _per_column(
         df,
-        columns,
-        data_type=lambda c: F.lit(fields[c].dataType.simpleString()),
-        nullable=lambda c: F.lit(fields[c].nullable),
-        non_null=lambda c: F.count(c),
-        mean=number(F.avg),
-        stddev=number(F.stddev_samp),
-        min_value=number(F.min),
-        max_value=number(F.max),
-        min_text=text(F.min),
-        max_text=text(F.max),
+        texts,
+        non_null=F.count,
+        mean=lambda c: no_number,
+        stddev=lambda c: no_number,
+        min_value=lambda c: no_number,
+        max_value=lambda c: no_number,
+        min_text=F.min,
+        max_text=F.max,
     )
+    schema = [(c, fields[c].dataType.simpleString(), fields[c].nullable) for c in [*numeric, *texts]]
+    names = df.sparkSession.createDataFrame(schema, "column string, data_type string, nullable boolean")
+    figures = [part for part, wanted in ((numbers, numeric), (strings, texts)) if wanted]
+    return names.join(reduce(DataFrame.unionByName, figures), "column")
 
 
 def median_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -171,15 +184,21 @@ def box_stats(df: DataFrame, columns: Sequence[str] | None = None, reach: float
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair, below the diagonal; null pairs are skipped."""
+    """Pearson correlation of every pair, below the diagonal; null pairs are skipped.
+
+    Value pairs are unpivoted and reduced per pair inside each task.
+    """
     columns = columns or numeric_columns(df)
-    pairs = F.array(
+    pairs = list(combinations(columns, 2))
+    cells = F.array(
         *[
-            F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.corr(a, b).alias("r"))
-            for a, b in combinations(columns, 2)
+            F.struct(F.lit(i).alias("i"), F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+            for i, (a, b) in enumerate(pairs)
         ]
     )
-    return df.agg(pairs.alias("rows")).select(F.inline("rows"))
+    r = df.select(F.inline(cells)).groupBy("i").agg(F.corr("a", "b").alias("r"))
+    x, y = (F.array(*[F.lit(p[side]) for p in pairs])[F.col("i")] for side in (1, 0))
+    return r.select(x.alias("x"), y.alias("y"), "r")
 
 
 def mutual_info(df: DataFrame, features: Sequence[str], label: Column, bins: int = 10) -> DataFrame:
@@ -191,17 +210,16 @@ def mutual_info(df: DataFrame, features: Sequence[str], label: Column, bins: int
     cuts = fit_quantiles(df, features, [i / bins for i in range(1, bins)])
     known = [c for c in features if cuts[c][0] is not None]
 
-    def bin_of(c):
-        steps = [F.when(F.col(c) > F.lit(q), 1).otherwise(0) for q in cuts[c]]
-        return F.when(F.col(c).isNotNull(), reduce(lambda a, b: a + b, steps))
-
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), bin_of(c).alias("bin")) for c in known])
+    # Unpivot first and bin after: one short expression for all features.
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(known)])
+    cut = [F.array(*[F.lit(cuts[c][j]) for c in known])[F.col("i")] for j in range(bins - 1)]
+    bin_of = reduce(lambda a, b: a + b, [F.when(F.col("v") > c, 1).otherwise(0) for c in cut])
     joint = (
         df.select(label.cast("string").alias("label"), cells.alias("cells"))
         .where(F.col("label").isNotNull())
         .select("label", F.inline("cells"))
-        .where(F.col("bin").isNotNull())
-        .groupBy("feature", "bin", "label")
+        .where(F.col("v").isNotNull())
+        .groupBy(F.array(*map(F.lit, known))[F.col("i")].alias("feature"), bin_of.alias("bin"), "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # At most features x bins x classes rows from here on.
@@ -216,7 +234,7 @@ def select_features(
     df: DataFrame, features: Sequence[str], label: Column, max_abs_corr: float = 0.8, bins: int = 10
 ) -> DataFrame:
     """Of every highly correlated pair, drop the feature that tells less about the label."""
-    mi = mutual_info(df, features, label, bins)
+    mi = materialise(mutual_info(df, features, label, bins), "mi")  # one row per feature, used three times
     strong = corr_matrix(df, features).where(F.abs("r") >= max_abs_corr)
     mx = mi.select(F.col("feature").alias("x"), F.col("mi").alias("mi_x"))
     my = mi.select(F.col("feature").alias("y"), F.col("mi").alias("mi_y"))

@@ -24,99 +24,84 @@ def fit_quantiles(
     """Quantiles per column, nulls ignored; None for a column without values.
 
     ``interpolate=False`` returns an element of the column (2 for the median of
-    1, 2, 3, 4), ``True`` interpolates (2.5). The built-in exact aggregates keep all
-    distinct values in one task, so they serve up to ``max_rows`` rows only. Above
-    that a sketch brackets each quantile, and only the values inside the bracket
-    are counted and ordered. The result is one number per column and probability.
+    1, 2, 3, 4), ``True`` interpolates (2.5). Values are counted, and the counts
+    ordered. The built-in exact aggregates would hold all distinct values in one task.
+    Above ``max_rows`` rows a sketch brackets each quantile first, and only the values
+    inside the bracket are counted. The result is one number per column and probability.
     """
     if not columns:
         return {}
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if doubles.count() <= max_rows:
-        return _by_aggregate(doubles, columns, probabilities, interpolate)
-    return _by_bracket(doubles, columns, probabilities, interpolate, max_rows)
+    counts = doubles.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in columns]).first()
+    ranks = {  # (column, probability index) -> lower rank, upper rank, weight of the upper one
+        (c, j): _ranks(counts[c], p, interpolate) for c in columns if counts[c] for j, p in enumerate(probabilities)
+    }
+    if counts["_all"] <= max_rows:
+        found = _whole_columns(doubles, ranks, max_rows)
+    else:
+        found = _bracketed(doubles, ranks, probabilities, max_rows)
+        missed = {k: ranks[k] for k, ends in found.items() if None in ends}
+        if missed:  # a bracket that did not hold its rank
+            found.update(_whole_columns(doubles, missed, max_rows))
+
+    result = {c: [None] * len(probabilities) for c in columns}
+    for (c, j), (low, high) in found.items():
+        result[c][j] = low + (high - low) * ranks[c, j][2]
+    return result
 
 
-def _by_aggregate(df, columns, probabilities, interpolate):
+def _ranks(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
     if interpolate:
-        exprs = [F.percentile(c, F.array(*map(F.lit, probabilities))).alias(c) for c in columns]
-        row = df.agg(*exprs).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in columns}
-    exprs = [
-        F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{c}`)").alias(f"{i}_{j}")
-        for i, c in enumerate(columns)
-        for j, p in enumerate(probabilities)
-    ]
-    row = df.agg(*exprs).first()
-    return {c: [row[f"{i}_{j}"] for j in range(len(probabilities))] for i, c in enumerate(columns)}
-
-
-def _by_bracket(df, columns, probabilities, interpolate, max_rows):
-    slack = 2.0 / _ACCURACY
-    ends = [e for p in probabilities for e in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.percentile_approx(c, list(ends), _ACCURACY).alias(f"q_{c}") for c in columns],
-    ).first()
+        at = p * (n - 1)
+        return math.floor(at) + 1, math.ceil(at) + 1, at - math.floor(at)
+    rank = max(1, math.ceil(p * n))
+    return rank, rank, 0.0
 
-    wanted = {}  # (column, probability index) -> ranks to look up and the interpolation weight
-    brackets = {}
-    for c in columns:
-        n = sketch[f"n_{c}"]
-        for j, p in enumerate(probabilities):
-            if n == 0:
-                continue
-            if interpolate:
-                at = p * (n - 1)
-                wanted[c, j] = (math.floor(at) + 1, math.ceil(at) + 1, at - math.floor(at))
-            else:
-                rank = max(1, math.ceil(p * n))
-                wanted[c, j] = (rank, rank, 0.0)
-            brackets[c, j] = (sketch[f"q_{c}"][2 * j], sketch[f"q_{c}"][2 * j + 1])
-
-    found = _values_at_ranks(df, brackets, {k: v[:2] for k, v in wanted.items()}, max_rows)
-    missed = {k: (-math.inf, math.inf) for k in brackets if None in found[k]}
-    if missed:  # a bracket that did not hold its rank: order the whole column
-        found.update(_values_at_ranks(df, missed, {k: wanted[k][:2] for k in missed}, max_rows))
 
-    result = {c: [None] * len(probabilities) for c in columns}
-    for (c, j), (low, high) in found.items():
-        result[c][j] = low + (high - low) * wanted[c, j][2]
-    return result
+def _whole_columns(df, ranks, max_rows):
+    columns = list(dict.fromkeys(c for c, _ in ranks))
+    everything = [(c, F.col(c).isNotNull()) for c in columns]
+    wanted = [{r for (c, _), ends in ranks.items() if c == name for r in ends[:2]} for name in columns]
+    values = _values_at_ranks(df, everything, wanted, max_rows)
+    return {(c, j): tuple(values[columns.index(c)].get(r) for r in ends[:2]) for (c, j), ends in ranks.items()}
 
 
-def _values_at_ranks(df, brackets, ranks, max_rows):
-    specs = list(brackets)
+def _bracketed(df, ranks, probabilities, max_rows):
+    """Look each rank up among the values close to it only."""
+    slack = 2.0 / _ACCURACY
+    ends = [e for p in probabilities for e in (max(0.0, p - slack), min(1.0, p + slack))]
+    columns = list(dict.fromkeys(c for c, _ in ranks))
+    sketch = df.agg(*[F.percentile_approx(c, list(ends), _ACCURACY).alias(c) for c in columns]).first()
+    specs = list(ranks)
+    bounds = [(sketch[c][2 * j], sketch[c][2 * j + 1]) for c, j in specs]
     below = df.agg(
-        *[F.count_if(F.col(c) < F.lit(brackets[c, j][0])).alias(str(i)) for i, (c, j) in enumerate(specs)]
+        *[F.count_if(F.col(c) < F.lit(low)).alias(str(i)) for i, ((c, _), (low, _)) in enumerate(zip(specs, bounds))]
     ).first()
-    inside = [
-        F.when(F.col(c).between(*map(F.lit, brackets[c, j])), F.struct(F.lit(i).alias("spec"), F.col(c).alias("v")))
-        for i, (c, j) in enumerate(specs)
-    ]
-    counts = materialise(
-        df.select(F.explode(F.array_compact(F.array(*inside))).alias("x"))
-        .groupBy("x.spec", "x.v")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "quantiles",
-    )
-    if counts.count() <= max_rows:
-        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("spec").orderBy("v")))
-    else:
-        total = running_totals(counts, ["spec", "v"], {"all_upto": "n"})
-        start = total.groupBy("spec").agg(F.min(F.col("all_upto") - F.col("n")).alias("start"))  # a row per spec
-        upto = total.join(F.broadcast(start), "spec").withColumn("upto", F.col("all_upto") - F.col("start"))
+    near = [(c, F.col(c).between(F.lit(low), F.lit(high))) for (c, _), (low, high) in zip(specs, bounds)]
+    wanted = [{r - below[i] for r in ranks[s][:2]} for i, s in enumerate(specs)]
+    values = _values_at_ranks(df, near, wanted, max_rows)
+    return {s: tuple(values[i].get(r - below[i]) for r in ranks[s][:2]) for i, s in enumerate(specs)}
+
 
-    targets = [(i, end, ranks[s][end] - below[i]) for i, s in enumerate(specs) for end in (0, 1)]
-    hit = F.coalesce(
-        *[F.when((F.col("spec") == i) & (F.col("end") == e), F.lit(r)) for i, e, r in targets]
+def _values_at_ranks(df, parts, wanted, max_rows):
+    """For part i = (column, row condition): the values at the ranks ``wanted[i]``, counted from 1."""
+    cells = F.array(
+        *[F.struct(F.lit(i).alias("part"), F.when(keep, F.col(c)).alias("v")) for i, (c, keep) in enumerate(parts)]
     )
-    rows = (
-        upto.withColumn("end", F.explode(F.array(F.lit(0), F.lit(1))))
-        .withColumn("rank", hit)
-        .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
-        .select("spec", "end", "v")
-        .collect()  # two rows per column and probability
+    counts = (
+        df.select(F.inline(cells)).where(F.col("v").isNotNull()).groupBy("part", "v").agg(F.count(F.lit(1)).alias("n"))
     )
-    picked = {(r["spec"], r["end"]): r["v"] for r in rows}
-    return {s: (picked.get((i, 0)), picked.get((i, 1))) for i, s in enumerate(specs)}
+    counts = materialise(counts, "quantiles")
+    if counts.count() <= max_rows:
+        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("part").orderBy("v")))
+    else:
+        total = running_totals(counts, ["part", "v"], {"all_upto": "n"})
+        start = total.groupBy("part").agg(F.min(F.col("all_upto") - F.col("n")).alias("start"))  # a row per part
+        upto = total.join(F.broadcast(start), "part").withColumn("upto", F.col("all_upto") - F.col("start"))
+    ranks = F.array(*[F.array(*[F.lit(r).cast("long") for r in sorted(w)]) for w in wanted])[F.col("part")]
+    hits = F.filter(ranks, lambda r: (r <= F.col("upto")) & (r > F.col("upto") - F.col("n")))
+    rows = upto.select("part", "v", F.explode(hits).alias("rank")).collect()  # at most one per wanted rank
+    values = [{} for _ in parts]
+    for row in rows:
+        values[row["part"]][row["rank"]] = row["v"]
+    return values

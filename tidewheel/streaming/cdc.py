@@ -15,11 +15,13 @@ def cdc_unwrap(messages: DataFrame, schema: StructType, value: str = "value") ->
     row before, if given) or 'invalid' (no field could be read).
     """
     raw = messages.selectExpr(f"CAST({value} AS STRING) AS raw_value")
-    at = lambda path: F.get_json_object("raw_value", path)
+    # Anything but an object is invalid; not parsing it avoids a costly error per path.
+    json = F.when(F.col("raw_value").rlike(r"^\s*\{"), F.col("raw_value"))
+    at = lambda path: F.get_json_object(json, path)
     # "after" is null in a delete, so without the check the whole payload would pass for a row.
     is_delete = F.coalesce(at("$.payload.op"), at("$.op")) == "d"
     row = F.when(is_delete, F.coalesce(at("$.payload.before"), at("$.before"))).otherwise(
-        F.coalesce(at("$.payload.after"), at("$.payload"), at("$.after"), F.col("raw_value"))
+        F.coalesce(at("$.payload.after"), at("$.payload"), at("$.after"), json)
     )
     parsed = raw.select("raw_value", is_delete.alias("_deleted"), F.from_json(row, schema).alias("data"))
     empty = F.lit(True)
