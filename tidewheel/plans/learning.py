@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +10,7 @@ from pyspark.sql import types as T
 from ..operators import evaluate, features, models, split
 from ..scratch import scratch_path
 from ..sources import text_messages
-from ..streaming import StreamScorer, prepare_rows, read_scored
-from ..streaming.score import parquet_sink
+from ..streaming import Scorer, parquet_sink, prepare_rows, read_scored
 from .tables import LINE_KEY, table
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -138,17 +138,23 @@ def model_compare(spark, folder):
 
 
 def stream_score(spark, folder):
-    """Fit on training events, then score all of them as a stream of change messages."""
+    """Fit on training events and save, then load and score all events as a stream of change messages."""
     train, _ = _split_events(spark, folder)
+    saved, inbox, outbox, checkpoint = (scratch_path(spark, n) for n in ("models", "inbox", "outbox", "offsets"))
     fitted = features.fit_features(train, NUMERIC, CATEGORICAL)
-    classifier = models.classifiers()["Logistic Regression"].fit(fitted.transform(train))
+    fitted.save(spark, f"{saved}/features")
+    regression = models.classifiers()["Logistic Regression"]
+    regression.fit(fitted.transform(train)).write().save(f"{saved}/model")
 
-    inbox, outbox, checkpoint = (scratch_path(spark, n) for n in ("inbox", "outbox", "offsets"))
     event_messages(raw_events(spark, folder)).write.text(inbox)
-    scorer = StreamScorer(
-        RAW_SCHEMA, fitted, classifier, prepare_events, ["event_id", "month"], parquet_sink(outbox)
+    scorer = Scorer(
+        RAW_SCHEMA,
+        features.FeatureModel.load(spark, f"{saved}/features"),
+        LogisticRegressionModel.load(f"{saved}/model"),
+        prepare_events,
+        ["event_id", "month"],
     )
-    query = scorer.start(text_messages(spark, inbox), checkpoint, available_now=True)
+    query = scorer.start(text_messages(spark, inbox), parquet_sink(outbox), checkpoint, available_now=True)
     query.awaitTermination()
     return read_scored(spark, outbox)
 

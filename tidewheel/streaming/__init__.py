@@ -1,6 +1,6 @@
 """Change-data messages and streaming scores."""
 
 from .cdc import cdc_unwrap
-from .score import StreamScorer, prepare_rows, read_scored
+from .score import Scorer, batch_counts, jdbc_sink, parquet_sink, prepare_rows, read_scored
 
-__all__ = ["StreamScorer", "cdc_unwrap", "prepare_rows", "read_scored"]
+__all__ = ["Scorer", "batch_counts", "cdc_unwrap", "jdbc_sink", "parquet_sink", "prepare_rows", "read_scored"]

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.clean import add_differences, apply_domains, drop_null_keys, parse_dates
 from ..operators.features import FeatureModel
+from ..sources.jdbc import write_jdbc
 from .cdc import cdc_unwrap
 
 
@@ -30,60 +31,68 @@ def prepare_rows(
 
 
 @dataclass
-class StreamScorer:
-    """Score messages batch by batch: one write per micro-batch and counts observed on it.
-
-    The sink replaces the output of its batch id, so a replayed batch adds no rows.
-    An error is not caught: the batch fails, its offsets stay uncommitted and it
-    is tried again.
-    """
+class Scorer:
+    """Everything between a change message and its prediction, for batch and stream alike."""
 
     schema: StructType
     features: FeatureModel
     model: Model
     prepare: Callable[[DataFrame], DataFrame]
     required: Sequence[str]
-    sink: Callable[[DataFrame, int], None]
-    counts: dict[int, dict[str, int]] = field(default_factory=dict)
 
-    def score(self, messages: DataFrame) -> DataFrame:
-        """Input fields plus ``prediction``, for a batch or a stream of messages."""
-        return self._predict(self._valid(cdc_unwrap(messages, self.schema)))
+    def score(self, messages: DataFrame, counted: bool = False) -> DataFrame:
+        """Message fields plus ``prediction``. ``counted`` observes how many rows pass each step."""
+        count = F.count(F.lit(1)).alias("n")
+        changes = cdc_unwrap(messages, self.schema)
+        if counted:
+            kinds = [F.count_if(F.col("change") == kind).alias(kind) for kind in ("delete", "invalid")]
+            changes = changes.observe("received", count, *kinds)
+        rows = drop_null_keys(self.prepare(changes.where(F.col("change") == "upsert")), self.required)
+        rows = rows.observe("valid", count) if counted else rows
+        scored = self.model.transform(self.features.transform(rows))
+        scored = scored.select(*self.schema.fieldNames(), "prediction")
+        return scored.observe("scored", count) if counted else scored
 
-    def _valid(self, changes: DataFrame) -> DataFrame:
-        return drop_null_keys(self.prepare(changes.where(F.col("change") == "upsert")), self.required)
+    def start(
+        self, messages: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = False
+    ) -> StreamingQuery:
+        """Score a stream; ``sink`` is called once per micro-batch with its rows and its id.
 
-    def _predict(self, rows: DataFrame) -> DataFrame:
-        scored = self.model.transform(self.features.transform(rows))
-        return scored.select(*self.schema.fieldNames(), "prediction")
-
-    def process(self, messages: DataFrame, batch_id: int) -> None:
-        """The ``foreachBatch`` callback. Empty batches pass through and show as zero counts."""
-        received, valid, scored = (Observation(f"{n}{batch_id}") for n in ("received", "valid", "scored"))
-        one = F.count(F.lit(1)).alias("n")
-        changes = cdc_unwrap(messages, self.schema).observe(
-            received,
-            one,
-            F.count_if(F.col("change") == "delete").alias("deletes"),
-            F.count_if(F.col("change") == "invalid").alias("invalid"),
-        )
-        rows = self._valid(changes).observe(valid, one)
-        self.sink(self._predict(rows).observe(scored, one), batch_id)
-        self.counts[batch_id] = {
-            **{("received" if k == "n" else k): v for k, v in received.get.items()},
-            "valid": valid.get["n"],
-            "scored": scored.get["n"],  # valid - scored = rows the feature model skipped
-        }
-
-    def start(self, messages: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+        The sink is the only action on a batch and its errors are not caught: a failed
+        batch leaves its offsets uncommitted and is tried again.
+        """
         writer = (
-            messages.writeStream.foreachBatch(self.process)
+            self.score(messages, counted=True)
+            .writeStream.foreachBatch(sink)
             .outputMode("append")
             .option("checkpointLocation", checkpoint)
         )
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def batch_counts(query: StreamingQuery) -> list[dict[str, int]]:
+    """Rows received, deleted, invalid, valid and scored of the recent micro-batches.
+
+    ``valid`` minus ``scored`` is what the feature model skipped; an empty batch shows
+    as zeros. The counts come from the one pass that wrote the batch.
+    """
+    counts = []
+    for progress in query.recentProgress:
+        seen = progress.observedMetrics
+        if "received" in seen:
+            counts.append(
+                {
+                    "batch_id": progress.batchId,
+                    "received": seen["received"]["n"],
+                    "deleted": seen["received"]["delete"],
+                    "invalid": seen["received"]["invalid"],
+                    "valid": seen["valid"]["n"],
+                    "scored": seen["scored"]["n"],
+                }
+            )
+    return counts
+
+
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Write each batch to its own partition folder, replacing what a failed try left there."""
 
@@ -93,6 +102,11 @@ def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def jdbc_sink(url: str, table: str, properties: Mapping[str, str]) -> Callable[[DataFrame, int], None]:
+    """Append each batch with its id. At least once: read through ``latest_batch``."""
+    return lambda df, batch_id: write_jdbc(df, url, table, properties, batch_id)
+
+
 def read_scored(spark: SparkSession, path: str) -> DataFrame:
     """All scored batches, with their ``batch_id``."""
     return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
