@@ -3,6 +3,7 @@ from pyspark.errors import AnalysisException
 
 from helpers import rows
 from tidewheel import scratch
+from tidewheel.session import cluster_conf
 from tidewheel.sources import jdbc_options, kafka_messages, preview, read_csv, write_csv, write_jdbc, write_parquet
 from tidewheel.sources.jdbc import latest_batch
 
@@ -61,3 +62,8 @@ def test_scratch_tables_are_written_to_the_checkpoint_folder_and_released(spark)
         "/"
     ).startswith(scratch.scratch_root(spark).split(":", 1)[-1].lstrip("/"))
     assert scratch.release(spark) >= 1
+
+
+def test_partitions_grow_with_the_input():
+    assert cluster_conf(10 << 30, 8)["spark.sql.shuffle.partitions"] == "52"
+    assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -14,6 +14,20 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Partition sizes for an input of the given size.
+
+    Shuffle partitions of about ``partition_bytes`` fit in executor memory; AQE merges
+    those that turn out small. Range-partitioned slices follow the same number.
+    """
+    partitions = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def build_session(app_name: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """Return a session. ``master`` stays unset on a cluster (spark-submit supplies it)."""
     builder = SparkSession.builder.appName(app_name)
