@@ -24,8 +24,8 @@ def cdc_unwrap(messages: DataFrame, schema: StructType, value: str = "value") ->
         F.coalesce(at("$.payload.after"), at("$.payload"), at("$.after"), json)
     )
     parsed = raw.select("raw_value", is_delete.alias("_deleted"), F.from_json(row, schema).alias("data"))
-    empty = F.lit(True)
-    for name in schema.fieldNames():
-        empty = empty & F.col(f"data.{name}").isNull()
-    change = F.when(F.col("_deleted"), "delete").when(F.col("data").isNull() | empty, "invalid").otherwise("upsert")
+    # Compared as one struct: a test per field would multiply the optimizer's constraints.
+    nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    empty = F.col("data").isNull() | F.col("data").eqNullSafe(nothing)
+    change = F.when(F.col("_deleted"), "delete").when(empty, "invalid").otherwise("upsert")
     return parsed.select("raw_value", change.alias("change"), "data.*")
