@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -91,9 +92,17 @@ class FeatureModel:
 
 
 def fit_features(
-    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], encoding: str = "onehot"
+    train: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    encoding: str = "onehot",
+    fills: FillValues | None = None,
 ) -> FeatureModel:
-    """Fit imputation, encoding and scaling on training rows only."""
-    fills = fit_fill_values(train, numeric, categorical)
-    stages = Pipeline(stages=feature_stages(numeric, categorical, encoding)).fit(fills.apply(train))
+    """Fit imputation (unless given), encoding and scaling on training rows only."""
+    kept = train.select(*numeric, *categorical).persist(StorageLevel.MEMORY_AND_DISK)  # every stage reads it
+    try:
+        fills = fills or fit_fill_values(kept, numeric, categorical)
+        stages = Pipeline(stages=feature_stages(numeric, categorical, encoding)).fit(fills.apply(kept))
+    finally:
+        kept.unpersist()
     return FeatureModel(fills, stages)

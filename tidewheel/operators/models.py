@@ -69,9 +69,10 @@ def model_compare(
     """
     spark = train.sparkSession
     models = dict(models or classifiers(label))
-    rows, fitted_features, fitted_models = [], {}, {}
+    rows, fitted_features, fitted_models, fills = [], {}, {}, None
     for encoding in encodings:
-        features = fitted_features[encoding] = fit_features(train, numeric, categorical, encoding)
+        features = fitted_features[encoding] = fit_features(train, numeric, categorical, encoding, fills)
+        fills = features.fills  # the same for every encoding
         train_set = features.transform(train).select("scaled_features", label).persist(StorageLevel.MEMORY_AND_DISK)
         test_set = features.transform(test).select("scaled_features", label).persist(StorageLevel.MEMORY_AND_DISK)
         for name, estimator in models.items():
