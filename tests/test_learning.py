@@ -40,6 +40,11 @@ def test_index_ties_go_by_name(spark):
     assert rows(got) == [("a", 1.0), ("b", 2.0), ("c", 0.0)]
 
 
+def test_frequency_index_equals_string_index(points):
+    expected = features.string_index(points.where("kind IS NOT NULL"), ["kind"])
+    assert rows(features.frequency_index(points, "kind"), "id", "kind_index") == rows(expected, "id", "kind_index")
+
+
 def test_one_hot_drops_the_last_category(spark):
     df = spark.createDataFrame([(c,) for c in "bacc"], "k string")
     got = features.one_hot(df, ["k"]).select("k", vector_to_array("k_ohe").alias("v")).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from tidewheel.operators import ordered
-from tidewheel.operators.analytics import decile_rate, lag_delta_buckets, league_table, longest_runs
+from tidewheel.operators.analytics import decile_rate, lag_delta_buckets, league_table, longest_runs, rank_in_group
 from tidewheel.operators.quantiles import fit_quantiles
 
 
@@ -112,11 +112,19 @@ def test_running_totals(series):
 
 @pytest.mark.parametrize("limit", [10_000, 5])
 @pytest.mark.parametrize("dense", [False, True])
-def test_global_rank(series, limit, dense):
+def test_rank_over_everything(series, limit, dense):
     scores = series.groupBy("key").agg(F.round(F.avg("value"), 0).alias("score"))
     rank = F.dense_rank() if dense else F.rank()
     expected = scores.withColumn("place", rank.over(Window.orderBy(F.desc("score"))))
-    assert rows(ordered.global_rank(scores, "score", "place", dense, limit)) == rows(expected)
+    assert rows(ordered.with_rank(scores, [], "score", "place", dense, limit)) == rows(expected)
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+@pytest.mark.parametrize("dense", [False, True])
+def test_rank_in_groups(series, limit, dense):
+    rank = F.dense_rank() if dense else F.rank()
+    expected = series.withColumn("place", rank.over(Window.partitionBy("key").orderBy(F.desc("value"))))
+    assert rows(ordered.with_rank(series, ["key"], "value", "place", dense, limit)) == rows(expected)
 
 
 @pytest.mark.parametrize("interpolate", [False, True])
@@ -145,10 +153,11 @@ def test_reports_do_not_depend_on_the_limit(series):
             outcome=("next_kind", "kind"), max_group_rows=limit,
         )
         yield decile_rate(series, ["key"], "value", ["at"], F.col("ok"), max_group_rows=limit)
+        yield rank_in_group(series, "key", "kind", F.col("ok"), {}, max_group_rows=limit)
         yield longest_runs(series, ["key"], ["at"], F.col("ok"), 3, 15, max_group_rows=limit)
         yield league_table(
             series, "key", {"mean": (F.col("value"), 2)}, {"total": (F.col("at"), 0)}, F.col("ok"), max_group_rows=limit
         )
 
-    for plain, sliced in zip(reports(10_000), reports(5)):
+    for plain, sliced in zip(reports(10_000), reports(1)):
         assert rows(plain) == rows(sliced)

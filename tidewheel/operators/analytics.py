@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import band, conditional_percent, match_count, percent_where, tag
-from .ordered import MAX_GROUP_ROWS, global_rank, run_spans, with_neighbours, with_ntile
+from .ordered import MAX_GROUP_ROWS, run_spans, with_neighbours, with_ntile, with_rank
 
 
 def period_vs_mean(
@@ -48,7 +48,12 @@ def period_vs_mean(
 
 
 def rank_in_group(
-    df: DataFrame, group: str, category: str, condition: Column, means: Mapping[str, tuple[Column, int]]
+    df: DataFrame,
+    group: str,
+    category: str,
+    condition: Column,
+    means: Mapping[str, tuple[Column, int]],
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Categories ranked inside their group by the unrounded share of matching rows."""
     table = df.groupBy(group, category).agg(
@@ -58,12 +63,8 @@ def rank_in_group(
         percent_where(condition, None).alias("_exact"),
         *_means(means),
     )
-    best_first = Window.partitionBy(group).orderBy(F.desc("_exact"))
-    return (
-        table.withColumn("rank_in_group", F.rank().over(best_first))
-        .drop("_exact")
-        .orderBy(group, F.desc("hit_pct"), category)
-    )
+    ranked = with_rank(table, [group], "_exact", "rank_in_group", max_group_rows=max_group_rows)
+    return ranked.drop("_exact").orderBy(group, F.desc("hit_pct"), category)
 
 
 def lag_delta_buckets(
@@ -247,7 +248,7 @@ def league_table(
         percent_where(condition).alias("hit_pct"),
         percent_where(condition, None).alias("_exact"),
     )
-    ranked = global_rank(table, "_exact", "overall_rank", max_group_rows=max_group_rows)
+    ranked = with_rank(table, [], "_exact", "overall_rank", max_group_rows=max_group_rows)
     return ranked.drop("_exact").orderBy(F.desc("hit_pct"), by)
 
 

@@ -9,8 +9,10 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .clean import FillValues, fit_fill_values
+from .ordered import dim_id
 
 
 def index_name(column: str) -> str:
@@ -50,6 +52,18 @@ def string_index(df: DataFrame, columns: Sequence[str], unseen: str = "error") -
     return indexer(columns, unseen).fit(df).transform(df)
 
 
+def frequency_index(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
+    """The index of :func:`string_index` for a column of any cardinality.
+
+    ``StringIndexer`` keeps all values on the driver; here they stay a table that is joined.
+    Rows with a null are skipped.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    ids = dim_id(counts, [F.desc("_n"), F.col(column)], "_id")
+    index = (F.col("_id") - 1).cast("double").alias(name or index_name(column))
+    return df.join(ids.select(column, index), column)
+
+
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return Pipeline(stages=[indexer(columns), encoder(columns)]).fit(df).transform(df)
 

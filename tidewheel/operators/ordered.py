@@ -78,7 +78,7 @@ def dense_id(df: DataFrame, order: Sequence[str | Column], name: str, slices: in
     )
 
 
-def dim_id(df: DataFrame, order: Sequence[str], name: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def dim_id(df: DataFrame, order: Sequence[str | Column], name: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """:func:`dense_id` for a set of keys that is mostly small; it is stored and counted first."""
     stored = materialise(df, "keys")
     if stored.count() > max_group_rows:
@@ -283,26 +283,47 @@ def run_spans(
     return plain.unionByName(joined)
 
 
-def global_rank(
-    df: DataFrame, score: str, name: str, dense: bool = False, max_group_rows: int = MAX_GROUP_ROWS
+def with_rank(
+    df: DataFrame,
+    keys: Sequence[str],
+    score: str,
+    name: str,
+    dense: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add RANK (or DENSE_RANK) by descending score over the whole frame.
+    """Add RANK (or DENSE_RANK) by descending score per group, over all rows if no keys are given.
 
-    Meant for aggregated rows. They are stored once; a checked small table is ranked
-    by a window, a larger one through running counts over its distinct scores.
+    Meant for aggregated rows, which are stored once. Groups of a checked size are ranked
+    by a window, larger ones through running counts over their distinct scores.
     """
     stored = materialise(df, "ranked")
-    if stored.count() <= max_group_rows:
-        window = Window.orderBy(F.col(score).desc())
-        return stored.withColumn(name, (F.dense_rank() if dense else F.rank()).over(window))
-    scores = stored.groupBy(F.col(score).alias("_score")).agg(F.count(F.lit(1)).alias("_n"))
-    by_score = [F.col("_score").desc()]
-    if dense:
-        ranks = dense_id(scores, by_score, name)
+    best_first = Window.partitionBy(*keys).orderBy(F.col(score).desc())
+    rank = (F.dense_rank() if dense else F.rank()).over(best_first)
+    if keys:
+        ordinary, hot = split_hot(stored, keys, max_group_rows)
     else:
-        ranks = running_totals(scores, by_score, {"_upto": "_n"}).withColumn(name, F.col("_upto") - F.col("_n") + 1)
-    ranks = ranks.select("_score", F.col(name).cast("int").alias(name))
-    return stored.join(ranks, F.col(score).eqNullSafe(F.col("_score"))).drop("_score")
+        ordinary, hot = (stored, None) if stored.count() <= max_group_rows else (None, stored)
+    plain = None if ordinary is None else ordinary.withColumn(name, rank)
+    if hot is None:
+        return plain
+
+    per_score = hot.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_n"))
+    step = F.lit(1) if dense else F.col("_n")
+    totals = running_totals(
+        per_score.withColumn("_step", step.cast("long")), [*keys, F.col(score).desc()], {"_upto": "_step"}
+    ).withColumn("_before", F.col("_upto") - F.col("_step"))
+    start = F.lit(0)
+    if keys:  # one row per large group
+        starts = totals.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(F.min("_before").alias("_start"))
+        on = same_values([F.col(k) for k in keys], [F.col(f"_g_{k}") for k in keys])
+        totals, start = totals.join(F.broadcast(starts), on), F.col("_start")
+    matched = [*keys, score]
+    ranks = totals.select(
+        *[F.col(c).alias(f"_r_{c}") for c in matched], (F.col("_before") - start + 1).cast("int").alias(name)
+    )
+    on = same_values([F.col(c) for c in matched], [F.col(f"_r_{c}") for c in matched])
+    ranked = hot.join(ranks, on).select(*df.columns, name)
+    return ranked if plain is None else plain.unionByName(ranked)
 
 
 def _column(order: str | Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import season_of
+from ..scratch import materialise
 from .ordered import dense_id, dim_id
 
 
@@ -41,6 +42,10 @@ class Galaxy:
     def tables(self) -> dict[str, DataFrame]:
         return {"entity_dim": self.entity, "date_dim": self.dates, **self.facts}
 
+    def stored(self) -> Galaxy:
+        """The same schema with its facts written once, for several queries over them."""
+        return Galaxy(self.entity, self.dates, {n: materialise(f, n) for n, f in self.facts.items()})
+
     def register(self) -> None:
         """Make every table available to SQL."""
         for name, table in self.tables().items():

@@ -24,6 +24,10 @@ def string_index(spark, folder):
     return features.string_index(events, ["event_type", "props"])
 
 
+def frequency_index(spark, folder):
+    return features.frequency_index(table(spark, folder, "orders").select("o_orderkey", "o_custkey"), "o_custkey")
+
+
 def one_hot(spark, folder):
     encoded = features.one_hot(table(spark, folder, "events").select("event_id", "event_type"), ["event_type"])
     digits = F.transform(vector_to_array("event_type_ohe"), lambda x: x.cast("int").cast("string"))
@@ -129,7 +133,18 @@ def serving_model_fit(spark, folder):
     features.fit_features(train, NUMERIC, CATEGORICAL).save(spark, path)
     loaded = features.FeatureModel.load(spark, path)
     encoded = loaded.transform(prepare_events(raw_events(spark, folder)))
-    return encoded.select("event_id", vector_to_array("scaled_features").alias("scaled_features"))
+    v = vector_to_array("scaled_features")
+    # The vector holds the numbers, then one block per category with at most one part set.
+    types = F.slice(v, len(NUMERIC) + 1, len(EVENT_TYPES) - 1)
+    weekdays = F.slice(v, len(NUMERIC) + len(EVENT_TYPES), 6)
+    return encoded.select(
+        "event_id",
+        *[F.round(v[i], 6).alias(f"scaled_{c}") for i, c in enumerate(NUMERIC)],
+        F.round(F.array_max(types), 6).alias("scaled_type"),
+        F.array_position(types, F.array_max(types)).alias("type_position"),
+        F.round(F.array_max(weekdays), 6).alias("scaled_weekday"),
+        F.array_position(weekdays, F.array_max(weekdays)).alias("weekday_position"),
+    )
 
 
 def model_compare(spark, folder):
@@ -166,6 +181,7 @@ def event_messages(raw):
 
 QUERIES = {
     "string_index": string_index,
+    "frequency_index": frequency_index,
     "one_hot": one_hot,
     "assemble_scale": assemble_scale,
     "hash_split": hash_split,
@@ -196,7 +212,44 @@ _STEPS_SQL = f"""{_SCORED_SQL},
 _METRICS_SQL = """metrics AS (SELECT event_type, 'band_' || CAST(user_id % 3 AS VARCHAR) AS band,
             ROUND(AVG(value), 4) AS mean_value, COUNT(*) AS n FROM events GROUP BY 1, 2)"""
 
+
+
+def _block_sql(column):
+    """CTE of the scaled one-hot part of each category: its position, and 1 / deviation."""
+    return f"""{column}_block AS (
+            SELECT {column}, i, CASE WHEN i < k THEN sqrt((n - 1) / (c * (1 - c / n))) ELSE 0 END AS v FROM (
+                SELECT {column}, CAST(COUNT(*) AS DOUBLE) AS c, CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS n,
+                    ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {column}) AS i, COUNT(*) OVER () AS k
+                FROM train GROUP BY {column}))"""
+
+
+_ENCODED_SQL = f"""
+        WITH raw AS (SELECT event_id, CASE WHEN event_id % 19 <> 0 THEN event_type END AS event_type,
+                strftime(ts, '%a') AS weekday, CASE WHEN event_id % 13 <> 0 THEN value END AS value,
+                CAST(hour(ts) AS DOUBLE) AS hour, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+                CAST(month(ts) AS DOUBLE) AS month,
+                CAST('0x' || substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 700 AS in_train
+            FROM events),
+        fills AS (SELECT quantile_disc(value, 0.5) AS value, (SELECT event_type FROM raw WHERE in_train
+                AND event_type IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, event_type LIMIT 1) AS event_type
+            FROM raw WHERE in_train),
+        filled AS (SELECT r.* REPLACE (COALESCE(r.value, f.value) AS value,
+                COALESCE(r.event_type, f.event_type) AS event_type), k - hour AS k_minus_hour FROM raw r, fills f),
+        train AS (SELECT * FROM filled WHERE in_train),
+        s AS (SELECT {", ".join(f"STDDEV_SAMP({c}) AS s_{c}" for c in NUMERIC)} FROM train),
+        {_block_sql("event_type")}, {_block_sql("weekday")}
+        SELECT event_id, {", ".join(f"ROUND(CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE 0 END, 6) AS scaled_{c}" for c in NUMERIC)},
+            ROUND(t.v, 6) AS scaled_type, CASE WHEN t.v > 0 THEN t.i ELSE 1 END AS type_position,
+            ROUND(w.v, 6) AS scaled_weekday, CASE WHEN w.v > 0 THEN w.i ELSE 1 END AS weekday_position
+        FROM filled, s, event_type_block t, weekday_block w
+        WHERE filled.event_type = t.event_type AND filled.weekday = w.weekday"""
+
 ORACLES = {
+    "serving_model_fit": _ENCODED_SQL,
+    "frequency_index": """
+        SELECT o_orderkey, o_custkey, o_custkey_index FROM orders JOIN (SELECT o_custkey,
+            CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, o_custkey) - 1 AS DOUBLE) AS o_custkey_index
+            FROM orders GROUP BY o_custkey) USING (o_custkey)""",
     "string_index": f"""
         SELECT event_id, event_type, props, event_type_index, props_index FROM events
         JOIN {_index_sql("event_type")} USING (event_type) JOIN {_index_sql("props")} USING (props)""",

@@ -43,7 +43,7 @@ def galaxy(spark, folder):
             "price_fact": ["l_quantity", "l_extendedprice", "l_discount"],
             "shipping_fact": ["l_tax", "l_returnflag", "l_shipdate"],
         },
-    )
+    ).stored()
 
     def summary(name, df, key, weight):
         return df.agg(
