@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from ..scratch import materialise
 from .ordered import MAX_GROUP_ROWS, running_totals
 
 _ACCURACY = 10_000
+# Tables up to this many rows are counted value by value without a sketch before.
+_WHOLE_ROWS = 1_000_000
 
 
 def fit_quantiles(
@@ -19,38 +22,40 @@ def fit_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     interpolate: bool = False,
-    max_rows: int = MAX_GROUP_ROWS,
+    whole_rows: int = _WHOLE_ROWS,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> dict[str, list[float | None]]:
     """Quantiles per column, nulls ignored; None for a column without values.
 
     ``interpolate=False`` returns an element of the column (2 for the median of
-    1, 2, 3, 4), ``True`` interpolates (2.5). Values are counted, and the counts
-    ordered. The built-in exact aggregates would hold all distinct values in one task.
-    Above ``max_rows`` rows a sketch brackets each quantile first, and only the values
-    inside the bracket are counted. The result is one number per column and probability.
+    1, 2, 3, 4), ``True`` interpolates (2.5). Values are counted and the counts ordered;
+    the built-in exact aggregates would hold all distinct values in one task. Above
+    ``whole_rows`` rows a sketch brackets each quantile first, and values outside the
+    brackets are counted together. The result is one number per column and probability.
     """
     if not columns:
         return {}
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counts = doubles.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in columns]).first()
-    ranks = {  # (column, probability index) -> lower rank, upper rank, weight of the upper one
-        (c, j): _ranks(counts[c], p, interpolate) for c in columns if counts[c] for j, p in enumerate(probabilities)
+    sizes = doubles.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in columns]).first()
+    ranks = {c: [_ranks(sizes[c], p, interpolate) for p in probabilities] for c in columns if sizes[c]}
+    everything = {c: [(-math.inf, math.inf)] for c in ranks}
+
+    brackets = everything if sizes["_all"] <= whole_rows else _brackets(doubles, list(ranks), probabilities)
+    values = _values_at_ranks(doubles, brackets, ranks, max_group_rows)
+    missed = {c for c, found in values.items() if None in found.values()}
+    if missed:  # a bracket that did not hold its rank
+        again = {c: everything[c] for c in missed}
+        values.update(_values_at_ranks(doubles, again, {c: ranks[c] for c in missed}, max_group_rows))
+    return {
+        c: [values[c][lo] + (values[c][hi] - values[c][lo]) * w for lo, hi, w in ranks[c]]
+        if c in ranks
+        else [None] * len(probabilities)
+        for c in columns
     }
-    if counts["_all"] <= max_rows:
-        found = _whole_columns(doubles, ranks, max_rows)
-    else:
-        found = _bracketed(doubles, ranks, probabilities, max_rows)
-        missed = {k: ranks[k] for k, ends in found.items() if None in ends}
-        if missed:  # a bracket that did not hold its rank
-            found.update(_whole_columns(doubles, missed, max_rows))
-
-    result = {c: [None] * len(probabilities) for c in columns}
-    for (c, j), (low, high) in found.items():
-        result[c][j] = low + (high - low) * ranks[c, j][2]
-    return result
 
 
 def _ranks(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
+    """Lower rank, upper rank and the weight of the upper one."""
     if interpolate:
         at = p * (n - 1)
         return math.floor(at) + 1, math.ceil(at) + 1, at - math.floor(at)
@@ -58,50 +63,57 @@ def _ranks(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
     return rank, rank, 0.0
 
 
-def _whole_columns(df, ranks, max_rows):
-    columns = list(dict.fromkeys(c for c, _ in ranks))
-    everything = [(c, F.col(c).isNotNull()) for c in columns]
-    wanted = [{r for (c, _), ends in ranks.items() if c == name for r in ends[:2]} for name in columns]
-    values = _values_at_ranks(df, everything, wanted, max_rows)
-    return {(c, j): tuple(values[columns.index(c)].get(r) for r in ends[:2]) for (c, j), ends in ranks.items()}
-
-
-def _bracketed(df, ranks, probabilities, max_rows):
-    """Look each rank up among the values close to it only."""
+def _brackets(df, columns, probabilities):
+    """Disjoint value ranges per column that hold the quantiles, from one sketch per column."""
     slack = 2.0 / _ACCURACY
     ends = [e for p in probabilities for e in (max(0.0, p - slack), min(1.0, p + slack))]
-    columns = list(dict.fromkeys(c for c, _ in ranks))
     sketch = df.agg(*[F.percentile_approx(c, list(ends), _ACCURACY).alias(c) for c in columns]).first()
-    specs = list(ranks)
-    bounds = [(sketch[c][2 * j], sketch[c][2 * j + 1]) for c, j in specs]
-    below = df.agg(
-        *[F.count_if(F.col(c) < F.lit(low)).alias(str(i)) for i, ((c, _), (low, _)) in enumerate(zip(specs, bounds))]
-    ).first()
-    near = [(c, F.col(c).between(F.lit(low), F.lit(high))) for (c, _), (low, high) in zip(specs, bounds)]
-    wanted = [{r - below[i] for r in ranks[s][:2]} for i, s in enumerate(specs)]
-    values = _values_at_ranks(df, near, wanted, max_rows)
-    return {s: tuple(values[i].get(r - below[i]) for r in ranks[s][:2]) for i, s in enumerate(specs)}
-
-
-def _values_at_ranks(df, parts, wanted, max_rows):
-    """For part i = (column, row condition): the values at the ranks ``wanted[i]``, counted from 1."""
-    cells = F.array(
-        *[F.struct(F.lit(i).alias("part"), F.when(keep, F.col(c)).alias("v")) for i, (c, keep) in enumerate(parts)]
-    )
+    brackets = {}
+    for c in columns:
+        merged = brackets[c] = []
+        for low, high in sorted(zip(sketch[c][::2], sketch[c][1::2])):
+            if merged and low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+    return brackets
+
+
+def _values_at_ranks(df, brackets, ranks, max_group_rows):
+    """Per column, the value at each rank; None where it lies outside the brackets."""
+    columns = list(brackets)
+    if not columns:
+        return {}
+    depth = max(map(len, brackets.values()))
+    padded = [brackets[c] + [(math.inf, math.inf)] * (depth - len(brackets[c])) for c in columns]
+    at = lambda per_column: F.array(*map(F.lit, per_column))[F.col("i")]
+    # Zone 2j + 1 is bracket j, zone 2j the values between it and the bracket before.
+    passed = [
+        F.when(F.col("v") >= at([b[j][0] for b in padded]), 1).otherwise(0)
+        + F.when(F.col("v") > at([b[j][1] for b in padded]), 1).otherwise(0)
+        for j in range(depth)
+    ]
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(columns)])
     counts = (
-        df.select(F.inline(cells)).where(F.col("v").isNotNull()).groupBy("part", "v").agg(F.count(F.lit(1)).alias("n"))
+        df.select(F.inline(cells))
+        .where(F.col("v").isNotNull())
+        .withColumn("zone", reduce(lambda a, b: a + b, passed))
+        .groupBy("i", "zone", F.when(F.col("zone") % 2 == 1, F.col("v")).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     counts = materialise(counts, "quantiles")
-    if counts.count() <= max_rows:
-        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("part").orderBy("v")))
+    if counts.count() <= max_group_rows:
+        in_order = Window.partitionBy("i").orderBy("zone", "value")
+        upto = counts.withColumn("upto", F.sum("n").over(in_order))
     else:
-        total = running_totals(counts, ["part", "v"], {"all_upto": "n"})
-        start = total.groupBy("part").agg(F.min(F.col("all_upto") - F.col("n")).alias("start"))  # a row per part
-        upto = total.join(F.broadcast(start), "part").withColumn("upto", F.col("all_upto") - F.col("start"))
-    ranks = F.array(*[F.array(*[F.lit(r).cast("long") for r in sorted(w)]) for w in wanted])[F.col("part")]
-    hits = F.filter(ranks, lambda r: (r <= F.col("upto")) & (r > F.col("upto") - F.col("n")))
-    rows = upto.select("part", "v", F.explode(hits).alias("rank")).collect()  # at most one per wanted rank
-    values = [{} for _ in parts]
+        total = running_totals(counts, ["i", "zone", "value"], {"all_upto": "n"})
+        start = total.groupBy("i").agg(F.min(F.col("all_upto") - F.col("n")).alias("start"))  # a row per column
+        upto = total.join(F.broadcast(start), "i").withColumn("upto", F.col("all_upto") - F.col("start"))
+    wanted = [sorted({r for ends in ranks[c] for r in ends[:2]}) for c in columns]
+    asked = F.array(*[F.array(*[F.lit(r).cast("long") for r in w]) for w in wanted])[F.col("i")]
+    hits = F.filter(asked, lambda r: (r <= F.col("upto")) & (r > F.col("upto") - F.col("n")))
+    rows = upto.select("i", "value", F.explode(hits).alias("rank")).collect()  # one per wanted rank
+    values = {c: dict.fromkeys(w) for c, w in zip(columns, wanted)}
     for row in rows:
-        values[row["part"]][row["rank"]] = row["v"]
+        values[columns[row["i"]]][row["rank"]] = row["value"]
     return values
