@@ -13,6 +13,7 @@ from ..scratch import materialise
 from .ordered import MAX_GROUP_ROWS, running_totals
 
 _ACCURACY = 10_000
+_ALL = (-math.inf, math.inf)
 # Tables up to this many rows are counted value by value without a sketch before.
 _WHOLE_ROWS = 1_000_000
 
@@ -38,7 +39,7 @@ def fit_quantiles(
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     sizes = doubles.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in columns]).first()
     ranks = {c: [_ranks(sizes[c], p, interpolate) for p in probabilities] for c in columns if sizes[c]}
-    everything = {c: [(-math.inf, math.inf)] for c in ranks}
+    everything = {c: [_ALL] for c in ranks}
 
     brackets = everything if sizes["_all"] <= whole_rows else _brackets(doubles, list(ranks), probabilities)
     values = _values_at_ranks(doubles, brackets, ranks, max_group_rows)
@@ -94,26 +95,29 @@ def _values_at_ranks(df, brackets, ranks, max_group_rows):
         for j in range(depth)
     ]
     cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(columns)])
-    counts = (
-        df.select(F.inline(cells))
-        .where(F.col("v").isNotNull())
-        .withColumn("zone", reduce(lambda a, b: a + b, passed))
-        .groupBy("i", "zone", F.when(F.col("zone") % 2 == 1, F.col("v")).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = df.select(F.inline(cells)).where(F.col("v").isNotNull())
+    if all(b == [_ALL] for b in brackets.values()):
+        counts = rows.groupBy("i", F.col("v").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.withColumn("zone", F.lit(1))
+    else:
+        rows = rows.withColumn("zone", reduce(lambda a, b: a + b, passed))
+        inside = F.when(F.col("zone") % 2 == 1, F.col("v")).alias("value")
+        counts = rows.groupBy("i", "zone", inside).agg(F.count(F.lit(1)).alias("n"))
     counts = materialise(counts, "quantiles")
     if counts.count() <= max_group_rows:
-        in_order = Window.partitionBy("i").orderBy("zone", "value")
+        in_order = Window.partitionBy("i").orderBy("zone", "value").rowsBetween(Window.unboundedPreceding, 0)
         upto = counts.withColumn("upto", F.sum("n").over(in_order))
     else:
         total = running_totals(counts, ["i", "zone", "value"], {"all_upto": "n"})
         start = total.groupBy("i").agg(F.min(F.col("all_upto") - F.col("n")).alias("start"))  # a row per column
         upto = total.join(F.broadcast(start), "i").withColumn("upto", F.col("all_upto") - F.col("start"))
     wanted = [sorted({r for ends in ranks[c] for r in ends[:2]}) for c in columns]
-    asked = F.array(*[F.array(*[F.lit(r).cast("long") for r in w]) for w in wanted])[F.col("i")]
-    hits = F.filter(asked, lambda r: (r <= F.col("upto")) & (r > F.col("upto") - F.col("n")))
-    rows = upto.select("i", "value", F.explode(hits).alias("rank")).collect()  # one per wanted rank
+    asked = df.sparkSession.createDataFrame(
+        [(i, r) for i, w in enumerate(wanted) for r in w], "column int, rank long"
+    )  # one row per wanted rank
+    hit = (F.col("i") == F.col("column")) & (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n"))
+    found = upto.join(F.broadcast(asked), hit).select("i", "value", "rank").collect()
     values = {c: dict.fromkeys(w) for c, w in zip(columns, wanted)}
-    for row in rows:
+    for row in found:
         values[columns[row["i"]]][row["rank"]] = row["value"]
     return values
