@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +25,15 @@ def keep_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """
     small = ids.count() <= BROADCAST_IDS
     return df.join(F.broadcast(ids) if small else ids, column, "left_semi")
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder, and let Spark drop the shuffle files behind it at once.
+
+    A stored table needs no lineage, but Spark frees a finished shuffle's files only when the driver's
+    garbage collector has met it, which on a driver with little to do may be never.
+    """
+    stored = materialise(df, label)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return stored

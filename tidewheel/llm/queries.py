@@ -4,19 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewheel.llm import decontam, langid
 from tidewheel.llm.neardup import near_duplicates
+from tidewheel.llm.packing import pack
+from tidewheel.llm.secret_scan import secret_digests
+from tidewheel.llm.substring import repeat_digests
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def language_labels(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_digests(_table(spark, folder, "documents"))
+
+
+def benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_digests(_table(spark, folder, "documents"))
+
+
 def near_duplicate_classes(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), shingle=4, percent=80)
 
 
+def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(_table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op3_recurrent_language_id": language_labels,
+    "op5_repeated_passages": repeated_passages,
+    "op6_benchmark_contamination": benchmark_contamination,
+    "op8_secret_scan": secret_spans,
     "op9_minhash_near_dedup": near_duplicate_classes,
+    "op10_cost_balanced_packing": packed_sequences,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op6_benchmark_contamination": decontam.ORACLE}
