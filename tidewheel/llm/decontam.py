@@ -45,10 +45,11 @@ def build_index(docs: DataFrame, doc_id: str, text: str, terms: DataFrame) -> Da
 
     ``doc_row`` numbers rows, so repeated or null ids stay apart; ``doc_id`` is filled at end markers only.
     """
-    listed = docs.select(
-        F.monotonically_increasing_id().alias("doc_row"),
-        F.col(doc_id).alias("doc_id"),
-        F.posexplode(F.array_append(words(F.col(text)), F.lit(_END))).alias("pos", "term"),
+    numbered = docs.select(  # numbered before words are listed: afterwards every word would get a number
+        F.monotonically_increasing_id().alias("doc_row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
+    )
+    listed = numbered.select(
+        "doc_row", "doc_id", F.posexplode(F.array_append(words(F.col("text")), F.lit(_END))).alias("pos", "term")
     )
     small = terms.count() <= BROADCAST_TERMS
     postings = listed.join(F.broadcast(terms) if small else terms, "term")

@@ -28,12 +28,28 @@ def keep_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder, and let Spark drop the shuffle files behind it at once.
+    """Write a table to the shared folder, and let Spark drop the shuffle files of finished steps.
 
-    A stored table needs no lineage, but Spark frees a finished shuffle's files only when the driver's
-    garbage collector has met it, which on a driver with little to do may be never.
+    A stored table needs no lineage, but Spark frees a shuffle's files only when the driver's garbage
+    collector has met it, which on a driver with little to do may be never. So it is asked to, before
+    a step that makes new files and after it.
     """
+    _collect(df)
     stored = materialise(df, label)
+    _collect(df)
+    return stored
+
+
+def _collect(df: DataFrame) -> None:
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
-    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a stored table that no later step reads."""
+    files = stored.inputFiles()
+    if not files:
+        return
+    context = stored.sparkSession.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(files[0])
+    file.getFileSystem(context._jsc.hadoopConfiguration()).delete(file.getParent(), True)

@@ -287,6 +287,37 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     return train([t for t, _ in pairs], [y for _, y in pairs])
 
 
+def _predictions(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Label and score of each text; ``und`` and 0 without a letter."""
+    letter = has_letter(texts)
+    if model.labels:
+        prob = document_probabilities(model, texts)
+        names = np.array(model.labels, dtype=object)[prob.argmax(axis=1)]
+        score = prob.max(axis=1).clip(0, 1)
+    else:
+        names, score = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
+    names[~letter], score[~letter] = UNKNOWN, 0.0
+    return names, score
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a letter and a label with at least this score.
+
+    A model without labels rejects letterless texts only.
+    """
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                texts = part.column(text)
+                keep = has_letter(texts)
+                if model.labels:
+                    keep &= _predictions(model, texts)[1] >= least
+                yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, lang_pred, score``.
 
@@ -298,15 +329,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = part.column("text")
-                letter = has_letter(texts)
-                if model.labels:
-                    prob = document_probabilities(model, texts)
-                    names = np.array(model.labels, dtype=object)[prob.argmax(axis=1)]
-                    score = prob.max(axis=1).clip(0, 1)
-                else:
-                    names, score = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
-                names[~letter], score[~letter] = UNKNOWN, 0.0
+                names, score = _predictions(model, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(names, pa.string()), pa.array(score, pa.float64())],
                     ["doc_id", "lang_pred", "score"],

@@ -10,10 +10,14 @@ all pairs within the distance meet in some bucket, none is left to chance.
 The distance limit itself lies 4.6 standard deviations above the mean distance of a pair
 that just reaches the similarity, and whatever passes is confirmed on the full shingle sets.
 
-No group is expanded to all its pairs. Texts with equal shingle sets are one node. In
+No group is expanded to rows of pairs. Texts with equal shingle sets are one node. In
 each bucket the members meet one pivot first, drawn by hash, and of the pivots that a
-document met only the nearest is confirmed; large groups fall together in this way. Only
-then, in buckets that still hold several components, pairs across components are tried.
+document met only the nearest is confirmed; large groups fall together in this way. What
+is left are buckets that hold several components. Their members are compared inside a
+task, block against block, and only what hangs together is returned: clusters of components
+with members within the distance. In each cluster the documents outside its largest
+component are then held against all others on their full sets, again block against block;
+at most one link for each document and component leaves the task.
 """
 
 from __future__ import annotations
@@ -30,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.components import components
-from tidewheel.llm.joins import keep_ids, stored_ids
+from tidewheel.llm.joins import keep_ids, store, stored_ids
 from tidewheel.llm.textops import mix, slices, split_words, window_hashes, word_hashes
-from tidewheel.scratch import materialise
 
 COORDINATES = 64
 CHUNK = 4
 PIVOT_ROUNDS = 2
+BUCKET_BLOCK = 1024  # signatures compared with as many others in one task
+SET_BLOCK = 256  # documents whose full sets are held against as many others
 
 _rng = np.random.default_rng(0xD1CE)
 _XOR = _rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
@@ -152,15 +157,126 @@ def _near(pairs: DataFrame, sigs: DataFrame, limit: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the similarity."""
-    pairs = materialise(pairs.select("a", "b"), "pairs")
+    pairs = store(pairs.select("a", "b"), "pairs")
     ids = stored_ids(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id")
-    sets = materialise(
+    sets = store(
         keep_ids(docs, ids, "doc_id").mapInArrow(partial(_set_rows, size), "doc_id long, members binary"), "sets"
     )
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("doc_id").alias(side), F.col("members").alias(f"set_{side}")), side)
     checked = pairs.select("a", "b", "set_a", "set_b").mapInArrow(partial(_confirm, percent), "a long, b long")
-    return materialise(checked, "links")
+    return store(checked, "links")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of consecutive rows with equal keys, of a partition sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows - 1, dtype=bool)
+        for k in keys:
+            values = batch.column(k).to_numpy()
+            change |= values[1:] != values[:-1]
+        if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+            yield pa.Table.from_batches(held)
+            held = []
+        bounds = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for at, end in zip(bounds, bounds[1:]):
+            held.append(batch.slice(at, end - at))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _near_components(limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each cell of a bucket: pairs of components that hang together by members within the distance."""
+    for cell in _runs(batches, ["key", "i", "j"]):
+        component = cell.column("component").to_numpy()
+        if (component == component[0]).all():
+            continue
+        sig = _matrix(cell.column("sig").combine_chunks())
+        far = np.zeros((len(sig), len(sig)), dtype=np.int16)
+        for k in range(COORDINATES):
+            far += sig[:, k, None] != sig[None, :, k]
+        near = (far <= limit) | (component[:, None] == component[None, :])
+        label, before = component.copy(), None
+        while before is None or (label != before).any():
+            before = label
+            label = np.where(near, before[None, :], np.iinfo(np.int64).max).min(axis=1)
+        pairs = np.unique(np.stack([component, label])[:, component != label], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
+def _block_links(percent: int, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links between documents of two blocks, one for each left document and right component."""
+    sets = [np.frombuffer(m.as_buffer(), np.uint64) for m in right.column("members")]
+    sizes = np.array([len(m) for m in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    shingle = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    order = np.argsort(shingle, kind="stable")
+    shingle, owner = shingle[order], owner[order]
+    ids, component = right.column("doc_id").to_numpy(), right.column("component").to_numpy()
+    found: list[tuple[int, int]] = []
+    for doc, own, members in zip(left.column("doc_id"), left.column("component"), left.column("members")):
+        members = np.frombuffer(members.as_buffer(), np.uint64)
+        first = np.searchsorted(shingle, members, side="left")
+        count = np.searchsorted(shingle, members, side="right") - first
+        at = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+        both = np.bincount(owner[at], minlength=len(sets))
+        hit = np.flatnonzero(
+            (100 * both >= percent * (sizes + len(members) - both)) & (component != own.as_py()) & (sizes > 0)
+        )
+        for k in hit[np.unique(component[hit], return_index=True)[1]]:
+            found.append((doc.as_py(), int(ids[k])))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _links_across(
+    buckets: DataFrame, sigs: DataFrame, docs: DataFrame, size: int, percent: int, limit: int
+) -> DataFrame:
+    """Confirmed links between different components that meet in a bucket."""
+    blocks = F.ceil(F.count("*") / BUCKET_BLOCK).cast("int")
+    cells = (
+        buckets.join(buckets.groupBy("key").agg(blocks.alias("blocks")), "key")
+        .join(sigs, "doc_id")
+        .withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "component", "sig")
+    )
+    together = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    edges = store(together.mapInArrow(partial(_near_components, limit), "a long, b long").distinct(), "near")
+    clusters = components(edges, "a", "b").toDF("component", "cluster")
+    members = store(
+        buckets.select("doc_id", "component").distinct().join(clusters, "component"), "clusters"
+    )  # every document of these components that is in a mixed bucket; no other can be within the distance
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("cluster").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.ceil(F.sum("n") / SET_BLOCK).cast("int").alias("all_blocks"),
+        F.ceil((F.sum("n") - F.max("n")) / SET_BLOCK).cast("int").alias("rest_blocks"),
+    )
+    ids = stored_ids(members, "doc_id")
+    sets = keep_ids(docs, ids, "doc_id").mapInArrow(partial(_set_rows, size), "doc_id long, members binary")
+    placed = store(members.join(main, "cluster").join(sets, "doc_id"), "sets")
+    dealt = F.xxhash64("doc_id")
+    right = placed.withColumn("i", F.pmod(dealt, F.col("all_blocks")).cast("int")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1))
+    )
+    left = (
+        placed.where("component <> main")
+        .withColumn("j", F.pmod(dealt, F.col("rest_blocks")).cast("int"))
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)))
+    )
+    columns = ["cluster", "i", "j", "doc_id", "component", "members"]
+    return (
+        left.select(columns)
+        .groupBy("cluster", "i", "j")
+        .cogroup(right.select(columns).groupBy("cluster", "i", "j"))
+        .applyInArrow(partial(_block_links, percent), "a long, b long")
+    )
 
 
 def near_duplicates(
@@ -179,12 +295,12 @@ def near_duplicates(
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     limit = distance_limit(percent)
     errors = limit // (COORDINATES // CHUNK)
-    profiles = materialise(
+    profiles = store(
         docs.mapInArrow(partial(_profiles, shingle), "doc_id long, n_shingles long, digest binary, sig binary"),
         "profiles",
     )
     usable = profiles.where("doc_id IS NOT NULL AND sig IS NOT NULL")
-    nodes = materialise(
+    nodes = store(
         usable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "nodes"
     )
     copies = (
@@ -196,7 +312,7 @@ def near_duplicates(
     sigs = nodes.groupBy("doc_id").agg(F.first("sig").alias("sig"))
     keys = sigs.mapInArrow(partial(_bucket_keys, errors), "key long, doc_id long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = materialise(keys.join(shared, "key"), "buckets").withColumn("component", F.col("doc_id"))
+    buckets = store(keys.join(shared, "key"), "buckets").withColumn("component", F.col("doc_id"))
 
     links = None
     for turn in range(PIVOT_ROUNDS):
@@ -212,14 +328,7 @@ def near_duplicates(
         fresh = _confirmed(nearest, docs, shingle, percent)
         links = fresh if links is None else links.union(fresh)
         buckets = _unsettled(buckets, components(links, "a", "b"))
-    other = buckets.select("key", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-    across = (
-        buckets.join(other, "key")
-        .where("doc_id < b AND component <> other")
-        .select(F.col("doc_id").alias("a"), "b")
-        .distinct()
-    )
-    links = links.union(_confirmed(_near(across, sigs, limit), docs, shingle, percent))
+    links = links.union(_links_across(buckets, sigs, docs, shingle, percent, limit))
 
     found = components(links.select("a", "b").union(copies), "a", "b")
     return (
@@ -242,4 +351,4 @@ def _unsettled(buckets: DataFrame, found: DataFrame) -> DataFrame:
         .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     )
     mixed = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    return materialise(now.join(mixed.select("key"), "key"), "buckets")
+    return store(now.join(mixed.select("key"), "key"), "buckets")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewheel.llm import decontam, langid
+from tidewheel.llm import ann, decontam, langid, url_filter, warc
 from tidewheel.llm.neardup import near_duplicates
 from tidewheel.llm.packing import pack
 from tidewheel.llm.secret_scan import secret_digests
@@ -15,6 +16,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(_table(spark, folder, "pages"), url_filter.RULES)
+
+
+def archive_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.record_digests(_table(spark, folder, "pages"))
+
+
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def language_labels(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     found = langid.identify(docs, langid.fit(docs))
@@ -42,7 +55,10 @@ def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_verdicts": url_verdicts,
+    "op2_warc_derivatives": archive_derivatives,
     "op3_recurrent_language_id": language_labels,
+    "op4_nearest_vectors": nearest_vectors,
     "op5_repeated_passages": repeated_passages,
     "op6_benchmark_contamination": benchmark_contamination,
     "op8_secret_scan": secret_spans,
@@ -50,4 +66,7 @@ QUERIES = {
     "op10_cost_balanced_packing": packed_sequences,
 }
 
-ORACLES = {"op6_benchmark_contamination": decontam.ORACLE}
+ORACLES = {
+    "op1_url_verdicts": url_filter.oracle(url_filter.RULES),
+    "op6_benchmark_contamination": decontam.ORACLE,
+}

@@ -198,3 +198,24 @@ def secret_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         f"doc_id {given.schema['doc_id'].dataType.simpleString()}, "
         "n_assign long, n_access long, n_hex long, base_sha256 string, spans string",
     )
+
+
+def redact_texts(docs: DataFrame, text: str = "text", n_chars: str | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, with secrets in the text replaced; ``n_chars`` names its length, if there is one.
+
+    Null texts stay null and keep their length. Rows are independent; nothing is shuffled.
+    """
+
+    def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before = batch.column(text).to_pylist()
+            after = [redact(t) for t in before]
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            columns[text] = pa.array(after, batch.column(text).type)
+            if n_chars in columns:
+                sizes = columns[n_chars].to_pylist()
+                sizes = [len(b) if a != b else n for a, b, n in zip(before, after, sizes)]
+                columns[n_chars] = pa.array(sizes, columns[n_chars].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
+
+    return docs.mapInArrow(masked, docs.schema)

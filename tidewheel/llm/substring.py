@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.joins import BROADCAST_IDS, keep_ids, store, stored_ids
+from tidewheel.llm.joins import BROADCAST_IDS, discard, keep_ids, store, stored_ids
 from tidewheel.llm.textops import Words, mix, slices, split_words, window_hashes, word_hashes
 
 # Perfect difference sets; every difference modulo the period occurs.
@@ -143,7 +143,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     known = docs.where("doc_id IS NOT NULL")
     anchors = store(known.mapInArrow(partial(_anchor_rows, window), "anchor long, doc_id long"), "anchors")
     groups = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = store(anchors.join(groups.where("low < high").select("anchor"), "anchor"), "shared-anchors")
+    groups = store(groups.where("low < high").select("anchor"), "anchor-groups")
+    shared = store(anchors.join(groups, "anchor"), "shared-anchors")
+    discard(anchors)
     ids = stored_ids(shared, "doc_id")
     few = ids.count() <= BROADCAST_IDS
     # Texts that share an anchor are stored once with a row number; all others keep every word.
@@ -152,7 +154,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     windows = texts.join(lists, "doc_id").mapInArrow(
         partial(_window_rows, window), "h1 long, h2 int, doc_id long, row long, start int"
     )
-    first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
+    # Groups are stored before they are joined, so that the join's shuffles are its own and a hot window can be split.
+    first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    first = store(first.where("first < last").drop("last"), "window-groups")
     repeated = store(
         windows.join(first, ["h1", "h2"])
         .where("doc_id > first")
