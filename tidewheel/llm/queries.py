@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, decontam, langid, url_filter, warc
+from tidewheel.llm import ann, decontam, katz, langid, url_filter, warc
 from tidewheel.llm.neardup import near_duplicates
 from tidewheel.llm.packing import pack
 from tidewheel.llm.secret_scan import secret_digests
@@ -42,6 +42,10 @@ def benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.score_documents(_table(spark, folder, "documents"), katz.held_out("doc_id"))
+
+
 def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
     return secret_digests(_table(spark, folder, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op4_nearest_vectors": nearest_vectors,
     "op5_repeated_passages": repeated_passages,
     "op6_benchmark_contamination": benchmark_contamination,
+    "op7_katz_backoff_scores": backoff_scores,
     "op8_secret_scan": secret_spans,
     "op9_minhash_near_dedup": near_duplicate_classes,
     "op10_cost_balanced_packing": packed_sequences,
