@@ -23,8 +23,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     now = materialise(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = None
-    for _ in range(MAX_ROUNDS):
+    rounds = 0
+    while not _stars(now):
+        rounds += 1
+        if rounds > MAX_ROUNDS:
+            raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         large = (
@@ -40,11 +43,14 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             .distinct()
         )
         now = materialise(small, "edges")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == state:
-            break
-        state = seen
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node points at one other, and that one at none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("met")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    degree = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("met").alias("met"))
+    return degree.where("out > 1 OR (out = 1 AND met = 1)").isEmpty()
