@@ -65,5 +65,8 @@ def test_scratch_tables_are_written_to_the_checkpoint_folder_and_released(spark)
 
 
 def test_partitions_grow_with_the_input():
-    assert cluster_conf(10 << 30, 8)["spark.sql.shuffle.partitions"] == "52"
+    assert cluster_conf(10 << 30, 8)["spark.sql.shuffle.partitions"] == "40"
+    large = cluster_conf(100 << 40, 4000)
+    assert int(large["spark.sql.shuffle.partitions"]) == 20_000
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 << 20
     assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -27,14 +27,14 @@ def period_vs_mean(
         percent_where(condition).alias("hit_pct"),
         F.round(F.avg(measure), 2).alias("mean_value"),
     )
-    overall = F.avg("mean_value").over(Window.partitionBy())  # one row per period
+    overall = by_period.agg(F.avg("mean_value").alias("_overall"))  # one row
     verdict = (
         F.when(F.col("mean_value") > F.col("_overall") * high, labels[0])
         .when(F.col("mean_value") < F.col("_overall") * low, labels[1])
         .otherwise(labels[2])
     )
     return (
-        by_period.withColumn("_overall", overall)
+        by_period.crossJoin(F.broadcast(overall))
         .withColumns(
             {
                 "overall_mean": F.round("_overall", 2),
@@ -122,7 +122,7 @@ def conditional_rate(
             *_means(means or {}),
         )
         .where(F.col("n") >= min_rows)
-        .orderBy(*by[:-1], F.desc("hit_pct"), by[-1])
+        .orderBy(*by[:-1], F.desc("hit_pct"), *by[-1:])
     )
 
 
@@ -167,15 +167,21 @@ def bucket_matrix(df: DataFrame, bands: Mapping[str, Column], condition: Column,
 
 
 def ytd_running_sum(
-    df: DataFrame, keys: Sequence[str], date: str, amount: str, year_tags: Mapping[int, str], digits: int = 1
+    df: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    amount: str,
+    year_tags: Mapping[int, str],
+    digits: int = 1,
+    scale: int = 10,
 ) -> DataFrame:
     """Daily amounts and their running total since January 1st.
 
     Rows are first added up per day, so a window never holds more than 366 rows.
-    Sums are decimal, which makes them independent of row order.
+    Sums are decimal with ``scale`` digits, which makes them independent of row order, and are rounded once at the end.
     """
     daily = df.groupBy(*keys, F.to_date(date).alias("full_date")).agg(
-        F.sum(F.col(amount).cast("decimal(18,2)")).alias("_amount")
+        F.sum(F.col(amount).cast(f"decimal(28,{scale})")).alias("_amount")
     )
     year = F.year("full_date")
     to_date = (
@@ -228,7 +234,7 @@ def persistence_rate(df: DataFrame, by: Sequence[str], now: Column, after: Colum
             conditional_percent(after, now).alias("persistence_pct"),
         )
         .where(F.col("n") >= min_rows)
-        .orderBy(*by[:-1], F.desc("persistence_pct"), by[-1])
+        .orderBy(*by[:-1], F.desc("persistence_pct"), *by[-1:])
     )
 
 

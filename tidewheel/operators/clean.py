@@ -106,7 +106,13 @@ def modes_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, n) for all columns in one pass; values as text, null included."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    types = dict(df.dtypes)
+
+    def text(c: str):
+        """Both zeros are one value."""
+        return (F.col(c) + F.lit(0.0).cast(types[c]) if types[c] in ("double", "float") else F.col(c)).cast("string")
+
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in columns])
     return df.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

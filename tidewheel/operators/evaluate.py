@@ -17,8 +17,9 @@ def positive_probability(column: str = "probability") -> Column:
 
 
 def weighted_f1(df: DataFrame, label: Column, prediction: Column) -> DataFrame:
-    """F1 averaged over the classes, weighted by how often each is true."""
-    cells = df.groupBy(label.cast("double").alias("label"), prediction.cast("double").alias("prediction")).agg(
+    """F1 averaged over the classes, weighted by how often each is true. Rows without a label do not count."""
+    labelled = df.where(label.isNotNull())
+    cells = labelled.groupBy(label.cast("double").alias("label"), prediction.cast("double").alias("prediction")).agg(
         F.count(F.lit(1)).alias("n")
     )
     # Unpivot each cell into the class it belongs to as truth and as prediction.

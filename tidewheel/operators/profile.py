@@ -82,7 +82,10 @@ def cardinality_profile(df: DataFrame, columns: Sequence[str] | None = None, app
             distinct_values=lambda c: F.approx_count_distinct(c)
             + F.max(F.when(F.col(c).isNull(), 1).otherwise(0)),
         )
-    return value_counts(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
+    # As instants, not as local times, of which an autumn hour would repeat.
+    instants = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    typed = df.select(*[F.unix_micros(c).alias(c) if c in instants else F.col(c) for c in columns])
+    return value_counts(typed, columns).groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
 
 
 def frequency_table(df: DataFrame, columns: Sequence[str], top: int = 30) -> DataFrame:
@@ -100,22 +103,23 @@ def frequency_table(df: DataFrame, columns: Sequence[str], top: int = 30) -> Dat
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows and share per class (one row per class)."""
-    everything = Window.partitionBy()
-    return (
-        df.groupBy(label)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("share_pct", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(everything), 2))
-    )
+    classes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    total = classes.agg(F.sum("n").alias("_all"))  # one row
+    share = F.round(F.lit(100.0) * F.col("n") / F.col("_all"), 2)
+    return classes.crossJoin(F.broadcast(total)).withColumn("share_pct", share).drop("_all")
 
 
 def describe_profile(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Schema and count, mean, deviation, minimum and maximum of numeric and string columns.
+    """Schema and non-null count of all columns, with mean, deviation and range of numbers and the range of others as text.
 
     Numbers are unpivoted and aggregated per column: one short aggregate instead of
     one per column, which would outgrow the code generator on wide tables.
     """
     fields = {f.name: f for f in df.schema.fields}
-    numeric, texts = numeric_columns(df), string_columns(df)
+    numeric = numeric_columns(df)
+    # Arrays and maps have no order that would make a range worth showing.
+    others = [c for c in df.columns if c not in numeric]
+    ranged = {c for c in others if not isinstance(fields[c].dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))}
     no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
 
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("number")) for c in numeric]
@@ -131,21 +135,27 @@ def describe_profile(df: DataFrame, digits: int = 4) -> DataFrame:
         )
         .withColumns({"min_text": no_text, "max_text": no_text})
     )
-    strings = _per_column(
+    figures = [numbers] if numeric else []
+    if others:
+        figures.append(_range_of_texts(df, others, ranged))
+    schema = [(c, fields[c].dataType.simpleString(), fields[c].nullable) for c in [*numeric, *others]]
+    names = df.sparkSession.createDataFrame(schema, "column string, data_type string, nullable boolean")
+    return names.join(reduce(DataFrame.unionByName, figures), "column") if figures else names
+
+
+def _range_of_texts(df: DataFrame, columns: Sequence[str], ranged: set[str]) -> DataFrame:
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    return _per_column(
         df,
-        texts,
+        columns,
         non_null=F.count,
         mean=lambda c: no_number,
         stddev=lambda c: no_number,
         min_value=lambda c: no_number,
         max_value=lambda c: no_number,
-        min_text=F.min,
-        max_text=F.max,
+        min_text=lambda c: F.min(c).cast("string") if c in ranged else no_text,
+        max_text=lambda c: F.max(c).cast("string") if c in ranged else no_text,
     )
-    schema = [(c, fields[c].dataType.simpleString(), fields[c].nullable) for c in [*numeric, *texts]]
-    names = df.sparkSession.createDataFrame(schema, "column string, data_type string, nullable boolean")
-    figures = [part for part, wanted in ((numbers, numeric), (strings, texts)) if wanted]
-    return names.join(reduce(DataFrame.unionByName, figures), "column")
 
 
 def median_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -171,6 +181,9 @@ def box_stats(df: DataFrame, columns: Sequence[str] | None = None, reach: float
     def within(c):
         return F.col(c).between(*fences(c))
 
+    if not quartiles:  # no column has a value
+        empty = "column string, q1 double, median double, q3 double, whisker_low double, whisker_high double, outliers long"
+        return df.sparkSession.createDataFrame([], empty)
     return _per_column(
         df,
         list(quartiles),

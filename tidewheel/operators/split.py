@@ -18,10 +18,14 @@ def hash_split(
     df: DataFrame, keys: Sequence[str], train_share: float = 0.7, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; unlike ``randomSplit`` independent of partitioning."""
-    in_train = split_bucket(keys, seed, 1000) < round(train_share * 1000)
+    in_train = _in_train(keys, train_share, seed)
     return df.where(in_train), df.where(~in_train)
 
 
-def with_split(df: DataFrame, keys: Sequence[str], train_tenths: int = 7, seed: int = 42) -> DataFrame:
-    """Tag every row 'train' or 'test'."""
-    return df.withColumn("part", F.when(split_bucket(keys, seed) < train_tenths, "train").otherwise("test"))
+def with_split(df: DataFrame, keys: Sequence[str], train_share: float = 0.7, seed: int = 42) -> DataFrame:
+    """Tag every row 'train' or 'test', by the same rule as :func:`hash_split`."""
+    return df.withColumn("part", F.when(_in_train(keys, train_share, seed), "train").otherwise("test"))
+
+
+def _in_train(keys: Sequence[str], train_share: float, seed: int) -> Column:
+    return split_bucket(keys, seed, 1000) < round(train_share * 1000)

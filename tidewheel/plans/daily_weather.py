@@ -108,25 +108,29 @@ def galaxy(table: DataFrame) -> Galaxy:
 
 
 def reports(table: DataFrame) -> dict[str, DataFrame]:
-    """The ten reports, lazily. They read the flat table: its rows hold both facts already."""
+    """The ten reports, lazily. They read the flat table: its rows hold both facts already.
+
+    Reports that go by date leave out rows whose date could not be parsed.
+    """
     rows = table.withColumn("season", season_of(F.col("month")))
     tomorrow = rows.where(F.col("RainTomorrow").isNotNull())
+    dated, dated_tomorrow = (t.where(F.col("date_parsed").isNotNull()) for t in (rows, tomorrow))
     here = F.col("Location").isin(FOUR_CLIMATES)
     rain, rain_next = F.col("RainToday") == "Yes", F.col("RainTomorrow") == "Yes"
     humidity, pressure = F.col("Humidity3pm"), F.col("Pressure3pm")
     return {
         "wet_and_dry_years": analytics.period_vs_mean(
-            rows, {"year": F.col("year")}, rain, F.col("Rainfall"), 1.15, 0.85, ("wet", "dry", "normal")
+            dated, {"year": F.col("year")}, rain, F.col("Rainfall"), 1.15, 0.85, ("wet", "dry", "normal")
         ),
         "seasons": analytics.rank_in_group(
-            rows.where(here & F.col("RainToday").isNotNull()),
+            dated.where(here & F.col("RainToday").isNotNull()),
             "Location",
             "season",
             rain,
             {"mean_rainfall": (F.col("Rainfall"), 2), "mean_humidity": (humidity, 1)},
         ),
         "pressure_fall": analytics.lag_delta_buckets(
-            tomorrow.where(pressure.isNotNull()),
+            dated_tomorrow.where(pressure.isNotNull()),
             ["Location"],
             ["date_parsed"],
             "Pressure3pm",
@@ -154,18 +158,18 @@ def reports(table: DataFrame) -> dict[str, DataFrame]:
             500,
         ),
         "year_to_date": analytics.ytd_running_sum(
-            rows.where((F.col("Location") == "Sydney") & F.col("year").isin(2011, 2014)),
+            dated.where((F.col("Location") == "Sydney") & F.col("year").isin(2011, 2014)),
             ["Location"],
             "date_parsed",
             "Rainfall",
             {2011: "wet", 2014: "dry"},
         ),
-        "dry_spells": analytics.longest_runs(rows, ["Location"], ["date_parsed"], F.col("RainToday") == "No", 50, 15),
+        "dry_spells": analytics.longest_runs(dated, ["Location"], ["date_parsed"], F.col("RainToday") == "No", 50, 15),
         "persistence": analytics.persistence_rate(
-            tomorrow.where(here & F.col("RainToday").isNotNull()), ["Location", "season"], rain, rain_next, 100
+            dated_tomorrow.where(here & F.col("RainToday").isNotNull()), ["Location", "season"], rain, rain_next, 100
         ),
         "league": analytics.league_table(
-            rows,
+            dated,
             "Location",
             {
                 "mean_max_temp": (F.col("MaxTemp"), 1),

@@ -265,7 +265,7 @@ ORACLES = {
             {", ".join(f"ROUND({c} / s_{c}, 6) AS scaled_{c}" for c in MEASURES)} FROM lineitem, s""",
     "hash_split": """
         SELECT o_orderkey, CASE WHEN CAST('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
-            % 10 < 7 THEN 'train' ELSE 'test' END AS part FROM orders""",
+            % 1000 < 700 THEN 'train' ELSE 'test' END AS part FROM orders""",
     "weighted_f1": f"""
         WITH {_SCORED_SQL}, classes AS (SELECT DISTINCT label AS c FROM scored)
         SELECT ROUND(SUM(actual * 2.0 * tp / (actual + predicted)) / SUM(actual), 10) AS weighted_f1,

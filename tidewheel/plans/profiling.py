@@ -146,7 +146,11 @@ def _describe_sql():
         f"SELECT '{c}', 'string', TRUE, COUNT({c}), NULL, NULL, NULL, NULL, MIN({c}), MAX({c}) FROM lineitem"
         for c in ("l_returnflag", "l_linestatus")
     )
-    return _union([*numbers, *texts])
+    dates = [
+        """SELECT 'l_shipdate', 'timestamp_ntz', TRUE, COUNT(l_shipdate), NULL, NULL, NULL, NULL,
+            CAST(MIN(l_shipdate) AS VARCHAR), CAST(MAX(l_shipdate) AS VARCHAR) FROM lineitem"""
+    ]
+    return _union([*numbers, *texts, *dates])
 
 
 def _box_sql():

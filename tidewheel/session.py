@@ -14,16 +14,25 @@ BASE_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 200 << 20) -> dict[str, str]:
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
+def cluster_conf(
+    input_bytes: int, cores: int, partition_bytes: int = 200 << 20, scan_bytes: int = 512 << 20
+) -> dict[str, str]:
     """Partition sizes for an input of the given size.
 
-    Shuffle partitions of about ``partition_bytes`` fit in executor memory; AQE merges
-    those that turn out small. Range-partitioned slices follow the same number.
+    Shuffle partitions aim at ``partition_bytes``, but there are no more than five for each
+    core, and MAX_SHUFFLE_PARTITIONS at most: an exchange has as many blocks as map tasks
+    times partitions, and the driver holds a status for each map task. Beyond that partitions
+    grow, and sorts and aggregates spill. AQE merges those that turn out small. Scans are split by
+    ``scan_bytes``, apart from shuffles. Range-partitioned slices follow the shuffle partitions.
     """
-    partitions = max(2 * cores, -(-input_bytes // partition_bytes))
+    wanted = -(-input_bytes // partition_bytes)
+    partitions = max(min(wanted, 5 * cores, MAX_SHUFFLE_PARTITIONS), min(2 * cores, MAX_SHUFFLE_PARTITIONS))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes if wanted > partitions else partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
     }
 

@@ -4,19 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, null_token: str = "NA") -> DataFrame:
-    """Read CSV with a header. No inference: types must not depend on the data read."""
-    return spark.read.schema(schema).csv(path, header=True, nullValue=null_token)
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str, null_token: str = "NA", multi_line: bool = False
+) -> DataFrame:
+    """Read CSV with a header. No inference: types must not depend on the data read.
 
+    Texts with line breaks need ``multi_line``, which keeps Spark from splitting files: leave it off for large raw files.
+    """
+    return spark.read.schema(schema).csv(path, header=True, nullValue=null_token, multiLine=multi_line)
 
-def write_csv(df: DataFrame, path: str, null_token: str = "NA", single_file: bool = False) -> None:
-    """Overwrite as CSV with a header. ``single_file`` is for small result tables only."""
+
+def write_csv(
+    df: DataFrame, path: str, null_token: str = "NA", single_file: bool = False, multi_line: bool = False
+) -> None:
+    """Overwrite as CSV with a header. ``single_file`` is for small result tables only.
+
+    A text with a line break would be torn by a reader that splits files: it raises an error unless ``multi_line`` says
+    that the file will be read with that option.
+    """
     out = df.coalesce(1) if single_file else df
+    if not multi_line:
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+        torn = F.raise_error(F.lit("text with a line break: write and read with multi_line=True"))
+        out = out.withColumns({c: F.when(F.col(c).rlike("[\\r\\n]"), torn).otherwise(F.col(c)) for c in texts})
     out.write.mode("overwrite").csv(path, header=True, nullValue=null_token)
 
 
@@ -36,10 +51,5 @@ def write_parquet(
 
 
 def preview(df: DataFrame, rows: int = 1000) -> tuple[list[Row], int]:
-    """The first rows and the full row count of a query that runs once."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        total = kept.count()
-        return kept.take(rows), total
-    finally:
-        kept.unpersist()
+    """The first rows and the full row count of a query; the count is a pass of its own, and nothing is stored."""
+    return df.take(rows), df.count()

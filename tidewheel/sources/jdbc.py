@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,12 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     out.write.jdbc(url=url, table=table, mode="append", properties=dict(properties))
 
 
-def latest_batch(df: DataFrame, key: str) -> DataFrame:
-    """One row per key, however often its batch was written."""
+def latest_batch(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """One row per key, however often its batch was written.
+
+    Several versions of a key in one batch are told apart by ``order`` (an offset or event time), the highest
+    wins; versions equal in that too by their values, so that the same one is taken every time.
+    """
     others = F.struct(*[c for c in df.columns if c != key])
-    return df.groupBy(key).agg(F.max_by(others, "batch_id").alias("_row")).select(key, "_row.*")
+    newest = F.struct("batch_id", *order, others.alias("_values"))
+    return df.groupBy(key).agg(F.max_by(others, newest).alias("_row")).select(key, "_row.*")
