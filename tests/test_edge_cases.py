@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from helpers import by, rows
-from tidewheel.operators import analytics, profile, split
+from tidewheel.operators import analytics, features, profile, split
 from tidewheel.operators.evaluate import weighted_f1
+from tidewheel.operators.quantiles import fit_quantiles
 from tidewheel.sources import read_csv, write_csv
 from tidewheel.sources.jdbc import latest_batch
 from tidewheel.streaming.cdc import cdc_unwrap
@@ -114,3 +116,26 @@ def test_one_row_totals_are_no_window(spark):
     assert by(profile.class_balance(df, "c"), "c")[0]["share_pct"] == 40.0
     plan = profile.class_balance(df, "c")._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_quantiles_keep_large_integers_and_decimals(spark):
+    big = [2**60 + 1, 2**60 + 3, 2**60 + 5]
+    df = spark.createDataFrame([(v, Decimal(f"{i}.{10**17 + i}")) for i, v in enumerate(big)], "b long, d decimal(38,18)")
+    found = fit_quantiles(df, ["b", "d"], [0.5])
+    assert found == {"b": [big[1]], "d": [Decimal("1.100000000000000001")]}
+    ends = fit_quantiles(spark.range(1, 1001), ["id"], [0.0, 0.5, 1.0], accuracy=100)["id"]
+    assert abs(ends[1] - 500) <= 10 and ends[0] == 1 and ends[2] == 1000
+
+
+def test_frequencies_beyond_a_thousand_values(spark):
+    df = spark.range(6000).selectExpr("CAST(id % 3000 AS STRING) AS v")
+    table = profile.frequency_table(df, ["v"], 2000)
+    assert table.count() == 2000 and table.agg({"position": "max"}).first()[0] == 2000
+    assert rows(table.where("position <= 3"), "value", "n") == [("0", 2), ("1", 2), ("10", 2)]
+
+
+def test_too_many_labels_raise(spark):
+    df = spark.range(20).selectExpr("CAST(id AS STRING) AS v")
+    assert features.string_index(df, ["v"], max_labels=20).count() == 20
+    with pytest.raises(ValueError, match="frequency_index"):
+        features.string_index(df, ["v"], max_labels=19)

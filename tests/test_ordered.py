@@ -132,7 +132,7 @@ def test_quantiles_by_bracket_equal_quantiles_of_all_rows(series, interpolate):
     table = series.select("value", "at", F.when(F.col("at") > 5, F.col("value")).alias("gaps"), F.lit(None).cast("int").alias("none"))
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     small = fit_quantiles(table, table.columns, probabilities, interpolate)
-    assert fit_quantiles(table, table.columns, probabilities, interpolate, whole_rows=20, max_group_rows=9) == small
+    assert fit_quantiles(table, table.columns, probabilities, interpolate, max_group_rows=9) == small
     assert small["none"] == [None] * 6
     name = "percentile_cont" if interpolate else "percentile_disc"
     for column in ("value", "at", "gaps"):
@@ -145,7 +145,7 @@ def test_a_missed_bracket_is_looked_up_again(series, monkeypatch):
     monkeypatch.setattr(
         "tidewheel.operators.quantiles._brackets", lambda df, c, p: {"at": [(0.0, 100.0)], "value": [(2.0, 3.0), (9.9, 9.9)]}
     )
-    assert fit_quantiles(series, ["at", "value"], [0.1, 0.5, 0.9], whole_rows=20) == expected
+    assert fit_quantiles(series, ["at", "value"], [0.1, 0.5, 0.9], max_group_rows=9) == expected
 
 
 def test_median_of_four(spark):

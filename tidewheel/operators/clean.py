@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +90,7 @@ def fit_fill_values(df: DataFrame, numeric: Sequence[str] = (), categorical: Seq
     A column with no value at all gets no fill value.
     """
     medians = {c: v[0] for c, v in fit_quantiles(df, numeric, [0.5]).items() if v[0] is not None}
+    medians = {c: float(v) if isinstance(v, Decimal) else v for c, v in medians.items()}
     modes = {r["column"]: r["mode"] for r in modes_of(df, categorical).collect()} if categorical else {}
     return FillValues(medians, modes)
 

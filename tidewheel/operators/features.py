@@ -48,7 +48,17 @@ def scaling(inputs: Sequence[str], invalid: str = "error") -> list:
     ]
 
 
-def string_index(df: DataFrame, columns: Sequence[str], unseen: str = "error") -> DataFrame:
+MAX_LABELS = 1_000_000
+
+
+def string_index(df: DataFrame, columns: Sequence[str], unseen: str = "error", max_labels: int = MAX_LABELS) -> DataFrame:
+    """Index with a fitted stage, which keeps every value on the driver: more than ``max_labels`` raise an error.
+
+    Use :func:`frequency_index` for such columns.
+    """
+    for c in columns:
+        if df.select(c).distinct().limit(max_labels + 1).count() > max_labels:
+            raise ValueError(f"{c} has more than {max_labels} values: use frequency_index")
     return indexer(columns, unseen).fit(df).transform(df)
 
 

@@ -60,7 +60,6 @@ def model_compare(
     label: str,
     encodings: Sequence[str] = ("index", "onehot"),
     models: Mapping[str, Estimator] | None = None,
-    digits: int = 4,
 ) -> Comparison:
     """Fit every model under every encoding; everything is fitted on ``train`` alone.
 
@@ -85,11 +84,7 @@ def model_compare(
             f1 = weighted_f1(scored, F.col("label"), F.col("prediction")).first()["weighted_f1"]
             scored.unpersist()
             seconds = time.perf_counter() - started
-            rows.append((encoding, name, _round(auc, digits), _round(f1, digits), round(seconds, 2)))
+            rows.append((encoding, name, auc, f1, round(seconds, 2)))
         train_set.unpersist()
         test_set.unpersist()
     return Comparison(spark.createDataFrame(rows, RESULT_SCHEMA), fitted_features, fitted_models)
-
-
-def _round(value: float | None, digits: int) -> float | None:
-    return None if value is None else round(value, digits)

@@ -91,14 +91,14 @@ def cardinality_profile(df: DataFrame, columns: Sequence[str] | None = None, app
 def frequency_table(df: DataFrame, columns: Sequence[str], top: int = 30) -> DataFrame:
     """The ``top`` most frequent values of each column, all columns in one pass.
 
-    Spark limits each task to its own ``top`` rows before the ranking shuffle.
+    Values are ranked within 64 parts of a column first, and what each part keeps is ranked again: one task meets
+    64 x ``top`` values of a column at most, however many it has.
     """
-    by_count = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return (
-        value_counts(df, columns)
-        .withColumn("position", F.row_number().over(by_count))
-        .where(F.col("position") <= top)
-    )
+    order = F.desc("n"), F.asc("value")
+    in_part = Window.partitionBy("column", F.pmod(F.xxhash64("value"), F.lit(64))).orderBy(*order)
+    kept = value_counts(df, columns).withColumn("position", F.row_number().over(in_part)).where(F.col("position") <= top)
+    by_count = Window.partitionBy("column").orderBy(*order)
+    return kept.withColumn("position", F.row_number().over(by_count)).where(F.col("position") <= top)
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -159,10 +159,13 @@ def _range_of_texts(df: DataFrame, columns: Sequence[str], ranged: set[str]) ->
 
 
 def median_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Exact median (an element of the column) of each numeric column."""
+    """Exact median (an element of the column) of each numeric column, shown as double.
+
+    :func:`fit_quantiles` itself returns integers and decimals in their own type.
+    """
     columns = columns or numeric_columns(df)
     medians = fit_quantiles(df, columns, [0.5])
-    rows = [(c, v[0]) for c, v in medians.items()]
+    rows = [(c, None if v[0] is None else float(v[0])) for c, v in medians.items()]
     return df.sparkSession.createDataFrame(rows, "column string, median double")
 
 
@@ -170,7 +173,9 @@ def box_stats(df: DataFrame, columns: Sequence[str] | None = None, reach: float
     """Quartiles, whiskers and outlier count per column; fences at ``reach`` times the IQR."""
     columns = columns or numeric_columns(df)
     quartiles = {
-        c: q for c, q in fit_quantiles(df, columns, [0.25, 0.5, 0.75], interpolate=True).items() if q[0] is not None
+        c: [float(v) for v in q]
+        for c, q in fit_quantiles(df, columns, [0.25, 0.5, 0.75], interpolate=True).items()
+        if q[0] is not None
     }
 
     def fences(c):
