@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.scratch import materialise
+from tidewheel.scratch import materialise, scratch_path
 
 BROADCAST_IDS = 1_000_000
 
@@ -34,10 +34,12 @@ def store(df: DataFrame, label: str) -> DataFrame:
     collector has met it, which on a driver with little to do may be never. So it is asked to, before
     a step that makes new files and after it.
     """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     _collect(df)
-    stored = materialise(df, label)
+    df.write.option("compression", "zstd").parquet(path)
     _collect(df)
-    return stored
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _collect(df: DataFrame) -> None:

@@ -29,35 +29,40 @@ from tidewheel.llm.joins import discard, store
 from tidewheel.llm.textops import slices, split_words, word_hashes
 
 GT_MAX = 5
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+CHUNKS_PER_BUCKET = 8
 BUCKET_TOKENS = 4_000_000
-UNKNOWN = 0xFFFFFFFF
-_END = 0x454E44  # stands for the end among word hashes
+UNKNOWN, END = 0xFFFFFFFF, 0xFFFFFFFE  # numbers that no word has
 
 
 @dataclass
 class Words:
-    """The single-word model: numbers from ``first[i]`` on have count ``count[i]`` and log10 probability ``log[i]``."""
+    """The single-word model: numbers from ``first[i]`` on have count ``count[i]`` and log10 probability ``log[i]``.
+
+    The end has a number, count and probability of its own.
+    """
 
     first: np.ndarray
     count: np.ndarray
     log: np.ndarray
+    end_count: int
+    end_log: float
     unknown_log: float
     tokens: int
     size: int
-    end: int  # number of the end; UNKNOWN if nothing was learned
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
-        return self._look_up(self.count, ids, 0)
+        return self._look_up(self.count, ids, 0, self.end_count)
 
     def logs(self, ids: np.ndarray) -> np.ndarray:
-        return self._look_up(self.log, ids, self.unknown_log)
+        return self._look_up(self.log, ids, self.unknown_log, self.end_log)
 
-    def _look_up(self, values: np.ndarray, ids: np.ndarray, otherwise):
+    def _look_up(self, values: np.ndarray, ids: np.ndarray, unknown, end):
+        special = np.where(ids == END, end, unknown)
         if not len(values):
-            return np.full(len(ids), otherwise)
+            return special
         at = np.searchsorted(self.first, ids, side="right") - 1
-        return np.where(ids == UNKNOWN, otherwise, values[at])
+        return np.where(ids >= END, special, values[at])
 
 
 def discounts(count_of_counts: dict[int, int], top: int = GT_MAX) -> np.ndarray:
@@ -80,93 +85,140 @@ def _factor(factors: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(counts < len(factors), factors[np.minimum(counts, len(factors) - 1)], 1.0)
 
 
-def single_words(histogram: list[tuple[int, int]]) -> Words:
-    """The model from ``(count, words with it)``; words are numbered by falling count."""
+def single_words(histogram: list[tuple[int, int]], end_count: int) -> Words:
+    """The model from ``(count, words with it)`` and the count of the end; words are numbered by falling count."""
     histogram = sorted(histogram, reverse=True)
     count = np.array([c for c, _ in histogram], dtype=np.int64)
     words = np.array([n for _, n in histogram], dtype=np.int64)
-    first = np.concatenate(([0], np.cumsum(words)[:-1])).astype(np.int64)
-    tokens, size = int((count * words).sum()), int(words.sum())
-    prob = _factor(discounts({int(c): int(n) for c, n in histogram}), count) * count / max(tokens, 1)
-    rest = 1 - float((prob * words).sum())
+    first = np.concatenate(([0], np.cumsum(words)))[: len(words)].astype(np.int64)
+    every = {int(c): int(n) for c, n in histogram}
+    if end_count:
+        every[end_count] = every.get(end_count, 0) + 1
+    tokens, size = sum(c * n for c, n in every.items()), sum(every.values())
+    factors = discounts(every)
+    prob = _factor(factors, count) * count / max(tokens, 1)
+    end = float(_factor(factors, np.array([end_count]))[0] * end_count / max(tokens, 1))
+    rest = 1 - float((prob * words).sum()) - end
     if rest < 1e-12 and tokens:  # nothing was discounted: one token's worth is kept for the unknown
-        prob, rest = count / (tokens + 1), 1 / (tokens + 1)
-    with np.errstate(divide="ignore"):
-        return Words(first, count, np.log10(prob), float(np.log10(rest)), tokens, size, UNKNOWN)
-
-
-def _hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes and their number per document, of a run of documents."""
-    words = split_words(texts, lower=True)
-    count = words.counts
-    last = np.cumsum(count + 1) - 1
-    out = np.full(len(words.starts) + len(count), _END, dtype=np.uint64)
-    inside = np.ones(len(out), dtype=bool)
-    inside[last] = False
-    out[inside] = word_hashes(words)
-    return out, count + 1
+        prob, end, rest = count / (tokens + 1), end_count / (tokens + 1), 1 / (tokens + 1)
+    if not end_count:
+        end = rest
+    return Words(first, count, np.log10(prob), end_count, float(np.log10(end)), float(np.log10(rest)), tokens, size)
+
+
+def _chunk_words(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a chunk's documents in order, and how many each document has."""
+    found = []
+    for batch in chunk.select(["text"]).combine_chunks().to_batches():
+        for part in slices(batch, "text", 1 << 20):
+            words = split_words(part.column("text"), lower=True)
+            found.append((word_hashes(words), words.counts))
+    return np.concatenate([h for h, _ in found]), np.concatenate([n for _, n in found])
 
 
-def _chunk_tokens(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    batches = chunk.combine_chunks().to_batches()
-    found = [_hashes(part.column("text")) for batch in batches for part in slices(batch, "text")]
-    return np.concatenate([h for h, _ in found]), np.concatenate([n for _, n in found])
+def _parts(words: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket of sorted word hashes begins; buckets follow the order of the hashes."""
+    of = ((words >> np.uint64(33)) * np.uint64(buckets)) >> np.uint64(31)
+    return np.searchsorted(of, np.arange(buckets + 1))
 
 
-def _count_words(chunk: pa.Table) -> pa.Table:
-    """Distinct words of a chunk, and how often its training documents have them."""
-    tokens, length = _chunk_tokens(chunk)
+def _count_words(buckets: int, chunk: pa.Table) -> pa.Table:
+    """Distinct words of a chunk, and how often its training documents have them, packed for each bucket."""
+    tokens, length = _chunk_words(chunk)
     held = chunk.column("held_out").to_numpy().astype(bool)
     words, of = np.unique(tokens, return_inverse=True)
-    seen = np.bincount(of, weights=np.repeat(~held, length), minlength=len(words)).astype(np.int64)
+    seen = np.bincount(of, weights=np.repeat(~held, length), minlength=len(words)).astype(np.uint32)
+    edges = _parts(words, buckets)
+    filled = np.flatnonzero(np.diff(edges))
     return pa.table(
         {
-            "word": words.view(np.int64),
-            "chunk": pa.array(np.full(len(words), chunk.column("chunk")[0].as_py()), pa.int32()),
-            "n": seen,
+            "bucket": pa.array(filled, pa.int32()),
+            "chunk": pa.array(np.full(len(filled), chunk.column("chunk")[0].as_py()), pa.int32()),
+            "words": pa.array([words[edges[b] : edges[b + 1]].tobytes() for b in filled], pa.binary()),
+            "n": pa.array([seen[edges[b] : edges[b + 1]].tobytes() for b in filled], pa.binary()),
         }
     )
 
 
-def _number_tokens(model: Words, chunk: pa.Table, known: pa.Table) -> pa.Table:
-    """Documents of a chunk as word numbers, with what the single counts say about them."""
-    if not chunk.num_rows:
-        return _CODED.empty_table()
-    tokens, length = _chunk_tokens(chunk)
-    word = known.column("word").to_numpy().view(np.uint64)
-    order = np.argsort(word)
-    at = np.searchsorted(word[order], tokens)
-    ids = known.column("id").to_numpy()[order][at].astype(np.uint32)
-    count = model.counts(ids)
-    first = np.concatenate(([0], np.cumsum(length)[:-1]))
+def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _sum_words(table: pa.Table) -> pa.Table:
+    """The known words of a bucket with their counts, and how many words have each count."""
+    words, of = np.unique(_joined(table.column("words"), np.uint64), return_inverse=True)
+    count = np.bincount(of, weights=_joined(table.column("n"), np.uint32), minlength=len(words)).astype(np.int64)
+    words, count = words[count > 0], count[count > 0]
+    values, sizes = np.unique(count, return_counts=True)
+    return pa.table(
+        {
+            "bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()),
+            "words": pa.array([words.tobytes()], pa.binary()),
+            "n": pa.array([count.tobytes()], pa.binary()),
+            "counts": pa.array([values.tolist()], pa.list_(pa.int64())),
+            "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64())),
+        }
+    )
+
+
+def _number_words(model: Words, asked: pa.Table, known: pa.Table) -> pa.Table:
+    """The numbers of the words that each chunk has in this bucket, in the order of their hashes."""
+    chunks, out = asked.column("chunk").to_pylist(), []
+    if known.num_rows:
+        row = known.to_pylist()[0]
+        words, count = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["n"], np.int64)
+        order = np.argsort(-count, kind="stable")
+        values, begin = np.unique(-count[order], return_index=True)
+        place = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+        before = dict(zip(row["at"], row["before"], strict=True))
+        first = dict(zip(model.count.tolist(), model.first.tolist(), strict=True))
+        start = np.array([first[-v] + before[-v] for v in values.tolist()], dtype=np.int64)
+        number = np.empty(len(words), dtype=np.int64)
+        number[order] = place + np.repeat(start, np.diff(np.append(begin, len(order))))
+    else:
+        words, number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for blob in asked.column("words"):
+        mine = np.frombuffer(blob.as_buffer(), np.uint64)
+        ids = np.full(len(mine), UNKNOWN, dtype=np.uint32)
+        if len(words):
+            at = np.minimum(np.searchsorted(words, mine), len(words) - 1)
+            hit = words[at] == mine
+            ids[hit] = number[at[hit]]
+        out.append(ids.tobytes())
+    return pa.table(
+        {"chunk": pa.array(chunks, pa.int32()), "bucket": asked.column("bucket"), "ids": pa.array(out, pa.binary())}
+    )
+
+
+def _code_documents(model: Words, chunk: pa.Table, replies: pa.Table) -> pa.Table:
+    """Documents of a chunk as numbers closed by the end, with what the single counts say about them."""
+    tokens, length = _chunk_words(chunk)
+    words, of = np.unique(tokens, return_inverse=True)
+    numbers = _joined(replies.sort_by("bucket").column("ids"), np.uint32)
+    if len(numbers) != len(words):
+        raise ValueError("a chunk was read with other words than before")
+    last = np.cumsum(length + 1) - 1
+    ids = np.full(len(tokens) + len(length), END, dtype=np.uint32)
+    inside = np.ones(len(ids), dtype=bool)
+    inside[last] = False
+    ids[inside] = numbers[of]
+    count = model.counts(ids.astype(np.int64))
+    cuts = np.concatenate(([0], last + 1))
     base = np.log10((count + 1) / (model.tokens + model.size + 1))
-    cuts = np.concatenate((first, [len(ids)]))
     return pa.table(
         {
             "doc_id": chunk.column("doc_id"),
             "held_out": chunk.column("held_out"),
-            "n_tokens": length.astype(np.int64),
-            "n_known": np.add.reduceat((count > 0).astype(np.int64), first),
-            "base_score": np.add.reduceat(base, first),
+            "n_tokens": pa.array(length + 1, pa.int64()),
+            "n_known": np.add.reduceat((count > 0).astype(np.int64), cuts[:-1]),
+            "base_score": np.add.reduceat(base, cuts[:-1]),
             "ids": pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
         }
-    ).cast(_CODED.set(0, pa.field("doc_id", chunk.schema.field("doc_id").type)))
-
-
-_CODED = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("held_out", pa.bool_()),
-        ("n_tokens", pa.int64()),
-        ("n_known", pa.int64()),
-        ("base_score", pa.float64()),
-        ("ids", pa.binary()),
-    ]
-)
+    )
 
 
 def _pair_blobs(
-    buckets: int, end: int, with_docs: bool, batches: Iterator[pa.RecordBatch]
+    buckets: int, with_docs: bool, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
     """Word pairs of some documents for each bucket: distinct pairs in order, with counts or with the documents."""
     for batch in batches:
@@ -177,7 +229,7 @@ def _pair_blobs(
             doc = np.repeat(np.arange(len(raw)), length)
             history = np.empty_like(word)
             history[1:] = word[:-1]
-            history[np.concatenate(([0], np.cumsum(length)[:-1]))] = end
+            history[np.concatenate(([0], np.cumsum(length)[:-1]))] = END
             pair = (history << np.uint64(32)) | word
             order = np.argsort(pair, kind="stable")
             pair, doc = pair[order], doc[order]
@@ -317,40 +369,49 @@ def score_documents(docs: DataFrame, is_held_out, doc_id: str = "doc_id", text:
         is_held_out.alias("held_out"),
     )
     id_type = given.schema["doc_id"].dataType.simpleString()
-    size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-size // CHUNK_BYTES))
+    whole = given.agg(
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.count_if(~F.col("held_out")), F.lit(0)).alias("trained"),
+    ).first()
+    chunks = max(1, -(-whole["bytes"] // CHUNK_BYTES))
+    word_buckets = max(1, -(-chunks // CHUNKS_PER_BUCKET))
     dealt = given.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
-    listed = store(dealt.groupBy("chunk").applyInArrow(_count_words, "word long, chunk int, n long"), "chunk-words")
-
-    # Words by falling count. Those with equal counts are numbered within 64 parts of them, so no part grows too large.
-    words = listed.groupBy("word").agg(F.sum("n").alias("count")).where("count > 0")
-    words = store(words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64)).cast("int")), "word-counts")
-    sizes = words.groupBy("count", "part").agg(F.count("*").alias("words"))
-    by_part = Window.partitionBy("count").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    steps = words.groupBy("count").agg(F.count("*").alias("words")).collect()  # one row per different count
-    model = single_words([(r["count"], r["words"]) for r in steps])
-    starts = docs.sparkSession.createDataFrame(
-        [(int(c), int(f)) for c, f in zip(model.count, model.first)], "count long, first long"
+
+    def count_words(chunk: pa.Table) -> pa.Table:
+        return _count_words(word_buckets, chunk)
+
+    counted = dealt.groupBy("chunk").applyInArrow(count_words, "bucket int, chunk int, words binary, n binary")
+    listed = store(counted, "chunk-words")
+    totals = store(
+        listed.groupBy("bucket").applyInArrow(
+            _sum_words, "bucket int, words binary, n binary, counts array<bigint>, sizes array<bigint>"
+        ),
+        "word-counts",
     )
-    offsets = sizes.withColumn("before", F.coalesce(F.sum("words").over(by_part), F.lit(0))).join(starts, "count")
-    place = F.row_number().over(Window.partitionBy("count", "part").orderBy("word")) - 1
-    numbered = words.withColumn("place", place).join(
-        offsets.select("count", "part", (F.col("before") + F.col("first")).alias("offset")), ["count", "part"]
+    # Words of one count are numbered bucket after bucket.
+    sizes = totals.select("bucket", F.inline(F.arrays_zip("counts", "sizes")))
+    steps = sizes.groupBy("counts").agg(F.sum("sizes").alias("words")).collect()  # one row per different count
+    model = single_words([(r["counts"], r["words"]) for r in steps], whole["trained"])
+    earlier = Window.partitionBy("counts").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("before", F.coalesce(F.sum("sizes").over(earlier), F.lit(0)))
+    offsets = offsets.groupBy("bucket").agg(F.collect_list(F.struct("counts", "before")).alias("o"))
+    known = totals.join(offsets, "bucket").select(
+        "bucket", "words", "n", F.col("o.counts").alias("at"), F.col("o.before").alias("before")
     )
-    numbered = store(numbered.select("word", (F.col("place") + F.col("offset")).alias("id")), "word-numbers")
-    end = numbered.where(F.col("word") == _END).select("id").collect()
-    model.end = int(end[0]["id"]) if end else UNKNOWN
-
-    known = listed.drop("n").join(numbered, "word", "left").select(
-        "chunk", "word", F.coalesce("id", F.lit(UNKNOWN)).alias("id")
+    replies = (
+        listed.select("bucket", "chunk", "words")
+        .groupBy("bucket")
+        .cogroup(known.groupBy("bucket"))
+        .applyInArrow(partial(_number_words, model), "chunk int, bucket int, ids binary")
     )
+    replies = store(replies, "word-numbers")
+    discard(listed)
     shape = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, ids binary"
-    coded = dealt.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(partial(_number_tokens, model), shape)
+    coded = dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(partial(_code_documents, model), shape)
     coded = store(coded.withColumn("doc_row", F.monotonically_increasing_id()), "numbered-documents")
-    discard(listed)
 
     buckets = max(1, -(-model.tokens // BUCKET_TOKENS))
-    blobs = partial(_pair_blobs, buckets, model.end)
+    blobs = partial(_pair_blobs, buckets)
     trained = coded.where("NOT held_out").select("ids")
     pairs = trained.mapInArrow(partial(blobs, False), "bucket int, h binary, w binary, n binary")
     tables = store(
