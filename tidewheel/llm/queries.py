@@ -73,5 +73,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_url_verdicts": url_filter.oracle(url_filter.RULES),
+    "op2_warc_derivatives": warc.oracle(),
     "op6_benchmark_contamination": decontam.ORACLE,
 }

@@ -206,3 +206,39 @@ def _charset_decoded(http: bytes, body: bytes) -> str:
 def record_digests(pages: DataFrame) -> DataFrame:
     """Derived records of all pages, with the block as length and digest."""
     return derive(responses(pages), "page_id").drop("block", "source_headers", "date")
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def oracle() -> str:
+    """The query in DuckDB SQL: the same steps and identifiers, written out."""
+    text = "coalesce(html, '')"
+    for pattern, to in _STEPS:
+        text = f"regexp_replace({text}, {_sql(pattern)}, {_sql(to)}, 'g')"
+    for entity, to in _ENTITIES:
+        text = f"replace({text}, {_sql(entity)}, {_sql(to)})"
+    for pattern, to in _TIDY:
+        text = f"regexp_replace({text}, {_sql(pattern)}, {_sql(to)}, 'g')"
+
+    def identifier(joined: str) -> str:
+        cuts = ", ".join(f"substr(md5({joined}), {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+        return f"'<urn:uuid:' || concat_ws('-', {cuts}) || '>'"
+
+    source = "concat_ws('|', 'response', coalesce(CAST(page_id AS VARCHAR), ''), coalesce(url, ''), md5(payload))"
+    fields = f"""'HTTP/1.1 200 OK' || {_sql(_LINE)} || 'http-Content-Type: text/html; charset=utf-8' || {_sql(_LINE)}
+        || 'http-Content-Length: ' || strlen(payload) || {_sql(_LINE)} || 'title: '
+        || regexp_replace(regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title *>', 1), {_sql("[" + chr(13) + chr(10) + "]+")}, ' ', 'g')
+        || {_sql(_LINE + "language: ")} || regexp_extract(payload, '(?i)<html[^>]* lang *= *"?([a-z-]+)', 1)
+        || {_sql(_LINE + "payload-digest: ")} || source_digest || {_sql(_LINE)}"""
+    return f"""
+WITH given AS (SELECT *, coalesce(html, '') AS payload FROM pages),
+named AS (SELECT *, {identifier(source)} AS refers_to, 'sha1:' || sha1(payload) AS source_digest FROM given),
+made AS (
+    SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type, {fields} AS block FROM named
+    UNION ALL SELECT *, 'conversion', 'text/plain; charset=utf-8', {text} FROM named)
+SELECT page_id, record_type, {identifier("concat_ws('|', record_type, refers_to, source_digest)")} AS record_id, refers_to,
+    coalesce(url, '') AS target_uri, content_type, source_digest, 'sha1:' || sha1(block) AS block_digest,
+    CAST(strlen(block) AS BIGINT) AS content_length FROM made
+"""
