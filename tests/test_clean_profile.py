@@ -78,7 +78,7 @@ def test_frequency_table(gaps):
 
 def test_frequency_table_limits_before_the_ranking_shuffle(gaps):
     plan = profile.frequency_table(gaps, ["c"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") == 4
 
 
 def test_describe_has_types_and_text_extremes(gaps):

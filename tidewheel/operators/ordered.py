@@ -34,14 +34,14 @@ def split_hot(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> tuple[
     """Separate rows of groups above the limit: ``(ordinary, hot or None)``.
 
     At most rows / max_group_rows keys can be hot. Their stored list carries its
-    true size, so Spark broadcasts it only when it is small.
+    true size, so Spark broadcasts it only when it is small. Runs jobs: the groups are counted
+    once, and if some are hot the rows are stored once, from where both parts are read.
     """
-    hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group_rows).select(*keys)
-    )
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group_rows)
+    hot = materialise(counted.select(*keys), "hotkeys")
     if hot.isEmpty():
         return df, None
-    hot = materialise(hot, "hotkeys")
+    df = materialise(df, "rows")
     on = same_values([df[k] for k in keys], [hot[k] for k in keys])
     return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -204,19 +205,55 @@ def box_stats(df: DataFrame, columns: Sequence[str] | None = None, reach: float
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair, below the diagonal; null pairs are skipped.
 
-    Value pairs are unpivoted and reduced per pair inside each task.
+    Each task reduces its rows, a batch at a time, to the moments of all pairs by matrix products; one row per pair and
+    task leaves it. Moments are taken around the task's first mean, and merged around the mean of all.
     """
-    columns = columns or numeric_columns(df)
-    pairs = list(combinations(columns, 2))
-    cells = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+    columns = list(columns or numeric_columns(df))
+    lower = [(i, j) for i in range(len(columns)) for j in range(i)]
+    if not lower:
+        return df.sparkSession.createDataFrame([], "x string, y string, r double")
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = shift = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            given = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            mask = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            values = np.where(mask, given, 0.0)
+            if shift is None:
+                shift = values.sum(axis=0) / np.maximum(mask.sum(axis=0), 1)
+            values, mask = np.where(mask, values - shift, 0.0), mask.astype(np.float64)
+            # Element (a, b) sums over the rows in which both are known.
+            part = np.stack([mask.T @ mask, values.T @ mask, (values * values).T @ mask, values.T @ values])
+            total = part if total is None else total + part
+        if total is None:
+            return
+        rows = []
+        for p, (i, j) in enumerate(lower):
+            n = total[0, i, j]
+            if n:
+                x, y = total[1, i, j] / n, total[1, j, i] / n
+                spread = total[2, i, j] - n * x * x, total[2, j, i] - n * y * y, total[3, i, j] - n * x * y
+                rows.append((p, n, x + shift[i], y + shift[j], *spread))
+        names = ["p", "n", "mx", "my", "xx", "yy", "xy"]
+        kinds = [pa.int32(), *[pa.float64()] * 6]
+        arrays = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays(arrays, names)
+
+    cells = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    parts = cells.mapInArrow(moments, "p int, n double, mx double, my double, xx double, yy double, xy double")
+    pair = Window.partitionBy("p")  # one row per task
+    dx, dy = (F.col(m) - F.sum(F.col(m) * F.col("n")).over(pair) / F.sum("n").over(pair) for m in ("mx", "my"))
+    merged = parts.withColumns({"dx": dx, "dy": dy}).groupBy("p").agg(
+        F.sum(F.col("xx") + F.col("n") * F.col("dx") * F.col("dx")).alias("xx"),
+        F.sum(F.col("yy") + F.col("n") * F.col("dy") * F.col("dy")).alias("yy"),
+        F.sum(F.col("xy") + F.col("n") * F.col("dx") * F.col("dy")).alias("xy"),
     )
-    r = df.select(F.inline(cells)).groupBy("i").agg(F.corr("a", "b").alias("r"))
-    x, y = (F.array(*[F.lit(p[side]) for p in pairs])[F.col("i")] for side in (1, 0))
-    return r.select(x.alias("x"), y.alias("y"), "r")
+    names = [F.array(*[F.lit(columns[q[side]]) for q in lower])[F.col("p")] for side in (0, 1)]
+    size = F.sqrt(F.greatest("xx", F.lit(0.0))) * F.sqrt(F.greatest("yy", F.lit(0.0)))
+    r = F.col("xy") / F.nullif(size, F.lit(0.0))
+    return merged.select(names[0].alias("x"), names[1].alias("y"), r.alias("r"))
 
 
 def mutual_info(df: DataFrame, features: Sequence[str], label: Column, bins: int = 10) -> DataFrame:
