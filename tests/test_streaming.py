@@ -78,7 +78,7 @@ def _run(spark, scorer, sink, inbox, offsets, files_per_batch=None):
     return query
 
 
-def test_stream_equals_batch_and_counts_what_it_leaves_out(spark, scorer, inbox, tmp_path):
+def test_stream_equals_batch_and_counts_what_it_leaves_out(spark, folder, scorer, inbox, tmp_path):
     query = _run(spark, scorer, parquet_sink(f"{tmp_path}/out"), inbox, tmp_path / "offsets", 1)
     streamed = read_scored(spark, f"{tmp_path}/out")
     columns = [*learning.RAW_SCHEMA.fieldNames(), "prediction"]
@@ -88,7 +88,11 @@ def test_stream_equals_batch_and_counts_what_it_leaves_out(spark, scorer, inbox,
     n = batch.count()
     assert sorted(c["batch_id"] for c in counts) == [0, 1, 2]
     total = {k: sum(c[k] for c in counts) for k in ("received", "deleted", "invalid", "valid", "scored")}
-    assert total == {"received": n + 3, "deleted": 1, "invalid": 1, "valid": n, "scored": n}
+    ids = [r["event_id"] for r in spark.read.parquet(f"{folder}/events.parquet").select("event_id").collect()]
+    deleted = sum(i % 47 == 0 for i in ids)
+    invalid = sum(i % 43 == 0 and i % 47 != 0 for i in ids)
+    expected = {"received": len(ids) + 3, "deleted": deleted + 1, "invalid": invalid + 1, "valid": n, "scored": n}
+    assert total == expected and n == len(ids) - deleted - invalid
 
 
 def test_a_replayed_batch_replaces_its_rows(spark, scorer, inbox, tmp_path):

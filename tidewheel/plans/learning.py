@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,12 +150,33 @@ def serving_model_fit(spark, folder):
 
 
 def model_compare(spark, folder):
+    """Compare all models; per model the rows behind its metrics, and whether Spark's evaluators find the same ones."""
     train, test = _split_events(spark, folder)
-    return models.model_compare(train, test, NUMERIC, CATEGORICAL, "label").results
+    compared = models.model_compare(train, test, NUMERIC, CATEGORICAL, "label")
+    metrics = {(r["encoding"], r["model"]): r for r in compared.results.collect()}  # one row per model
+    auc = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0)
+    f1 = MulticlassClassificationEvaluator(metricName="f1")
+    rows = []
+    for (encoding, name), model in compared.models.items():
+        scored = models.score(model, compared.features[encoding], test).select("label", "prediction", "probability")
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        found = metrics[encoding, name]
+        agree = [abs(e.evaluate(scored) - found[m]) < 1e-9 for e, m in ((auc, "roc_auc"), (f1, "f1_score"))]
+        counts = scored.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1)).first()
+        rows.append((encoding, name, train.count(), *counts, test.count() - counts[0], *agree))
+        scored.unpersist()
+    return spark.createDataFrame(
+        rows,
+        "encoding string, model string, train_rows long, test_rows long, test_positives long, skipped_rows long, "
+        "auc_agrees boolean, f1_agrees boolean",
+    )
 
 
 def stream_score(spark, folder):
-    """Fit on training events and save, then load and score all events as a stream of change messages."""
+    """Fit on training events and save, then load and score all events as a stream of change messages.
+
+    Returns message fields that scoring leaves alone, whether there is a prediction, and whether the batch gives the same.
+    """
     train, _ = _split_events(spark, folder)
     saved, inbox, outbox, checkpoint = (scratch_path(spark, n) for n in ("models", "inbox", "outbox", "offsets"))
     fitted = features.fit_features(train, NUMERIC, CATEGORICAL)
@@ -161,7 +184,8 @@ def stream_score(spark, folder):
     regression = models.classifiers()["Logistic Regression"]
     regression.fit(fitted.transform(train)).write().save(f"{saved}/model")
 
-    event_messages(raw_events(spark, folder)).write.text(inbox)
+    messages = event_messages(raw_events(spark, folder))
+    messages.write.text(inbox)
     scorer = Scorer(
         RAW_SCHEMA,
         features.FeatureModel.load(spark, f"{saved}/features"),
@@ -171,12 +195,27 @@ def stream_score(spark, folder):
     )
     query = scorer.start(text_messages(spark, inbox), parquet_sink(outbox), checkpoint, available_now=True)
     query.awaitTermination()
-    return read_scored(spark, outbox)
+    batch = scorer.score(messages).select("event_id", F.col("prediction").alias("_batch"))
+    same = F.coalesce(F.col("prediction") == F.col("_batch"), F.lit(False)).alias("agrees")
+    predicted = F.col("prediction").isNotNull().alias("predicted")
+    scored = read_scored(spark, outbox).join(batch, "event_id", "left")
+    return scored.select("event_id", "event_date", "weekday", "hour", "k", predicted, same)
 
 
 def event_messages(raw):
+    """Every form of message: rows in all envelopes, deletes, and texts that are no JSON."""
     row = F.to_json(F.struct(*RAW_SCHEMA.fieldNames()))
-    return raw.select(F.concat(F.lit('{"payload":{"after":'), row, F.lit(',"op":"c"}}')).alias("value"))
+    wrapped = lambda before, after: F.concat(F.lit(before), row, F.lit(after))
+    form = F.col("event_id") % 4
+    value = (
+        F.when(F.col("event_id") % 47 == 0, wrapped('{"payload":{"before":', ',"after":null,"op":"d"}}'))
+        .when(F.col("event_id") % 43 == 0, F.lit("no message"))
+        .when(form == 0, wrapped('{"payload":', "}"))
+        .when(form == 1, wrapped('{"after":', "}"))
+        .when(form == 2, row)
+        .otherwise(wrapped('{"payload":{"after":', ',"op":"c"}}'))
+    )
+    return raw.select(value.alias("value"))
 
 
 QUERIES = {
@@ -244,8 +283,22 @@ _ENCODED_SQL = f"""
         FROM filled, s, event_type_block t, weekday_block w
         WHERE filled.event_type = t.event_type AND filled.weekday = w.weekday"""
 
+_SPLIT_SQL = "CAST('0x' || substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 700"
+
 ORACLES = {
     "serving_model_fit": _ENCODED_SQL,
+    "model_compare": f"""
+        WITH e AS (SELECT {_SPLIT_SQL} AS in_train, {LABEL_SQL} AS label FROM events),
+        c AS (SELECT COUNT(*) FILTER (WHERE in_train) AS train_rows, COUNT(*) FILTER (WHERE NOT in_train) AS test_rows,
+            COUNT(*) FILTER (WHERE NOT in_train AND label = 1) AS test_positives FROM e)
+        SELECT encoding, model, train_rows, test_rows, test_positives, CAST(0 AS BIGINT) AS skipped_rows,
+            TRUE AS auc_agrees, TRUE AS f1_agrees
+        FROM c, (VALUES ('index'), ('onehot')) a(encoding), (VALUES ('Logistic Regression'), ('Decision Tree'), ('Random Forest')) b(model)""",
+    "stream_score": """
+        SELECT event_id, strftime(ts, '%d/%m/%Y') AS event_date, strftime(ts, '%a') AS weekday,
+            CAST(hour(ts) AS INTEGER) AS hour, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+            TRUE AS predicted, TRUE AS agrees
+        FROM events WHERE event_id % 47 <> 0 AND event_id % 43 <> 0""",
     "frequency_index": """
         SELECT o_orderkey, o_custkey, o_custkey_index FROM orders JOIN (SELECT o_custkey,
             CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, o_custkey) - 1 AS DOUBLE) AS o_custkey_index
