@@ -62,16 +62,17 @@ def galaxy_schema(
     """Split one flat table into an entity and a date dimension and several facts.
 
     Records are numbered by (date, entity, tie_break), which must be unique. A record
-    without entity is left out, one without date keeps a null ``date_id``. All facts
-    read the one stored, numbered table and only their own columns of it.
+    without entity is left out, one without date keeps a null ``date_id``. The input is
+    evaluated once and its needed columns are stored; dimensions and numbers come from there, and all
+    facts read the one stored, numbered table and only their own columns of it. Runs jobs.
     """
     measures = list(dict.fromkeys(c for cols in facts.values() for c in cols))
-    flat = df.where(F.col(entity).isNotNull()).select(
-        entity, F.to_date(date).alias("full_date"), *dict.fromkeys([*measures, *tie_break])
+    rows = materialise(
+        df.select(entity, F.to_date(date).alias("full_date"), *dict.fromkeys([*measures, *tie_break])), "records"
     )
-    numbered = dense_id(flat, ["full_date", entity, *tie_break], "record_id")
-    entities = entity_dim(numbered, entity, "entity_id")  # from the stored copy, not the source again
-    dates = date_dim(df, date)
+    numbered = dense_id(rows.where(F.col(entity).isNotNull()), ["full_date", entity, *tie_break], "record_id")
+    entities = entity_dim(rows, entity, "entity_id")
+    dates = date_dim(rows, "full_date")
     keyed = numbered.join(entities, entity).join(dates.select("full_date", "date_id"), "full_date", "left")
     return Galaxy(
         entities, dates, {n: keyed.select("record_id", "entity_id", "date_id", *cols) for n, cols in facts.items()}

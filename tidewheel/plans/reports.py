@@ -32,9 +32,8 @@ def dense_surrogate_id(spark, folder):
     return dense_id(orders, ["o_orderdate", "o_orderkey"], "order_id")
 
 
-def galaxy(spark, folder):
-    """Row counts, key ranges, orphans and a checksum of every table of the schema."""
-    schema = galaxy_schema(
+def _galaxy(spark, folder):
+    return galaxy_schema(
         line_nations(spark, folder),
         entity="n_name",
         date="o_orderdate",
@@ -43,7 +42,23 @@ def galaxy(spark, folder):
             "price_fact": ["l_quantity", "l_extendedprice", "l_discount"],
             "shipping_fact": ["l_tax", "l_returnflag", "l_shipdate"],
         },
-    ).stored()
+    )
+
+
+def galaxy_sql(spark, folder):
+    """A report in SQL over the registered tables of the schema."""
+    _galaxy(spark, folder).register()
+    return spark.sql("""
+        SELECT e.n_name, d.season, COUNT(*) AS n, ROUND(AVG(p.l_quantity), 1) AS mean_quantity,
+            COUNT_IF(s.l_returnflag = 'R') AS returned
+        FROM price_fact p JOIN shipping_fact s ON p.record_id = s.record_id
+        JOIN entity_dim e ON p.entity_id = e.entity_id JOIN date_dim d ON p.date_id = d.date_id
+        GROUP BY e.n_name, d.season""")
+
+
+def galaxy(spark, folder):
+    """Row counts, key ranges, orphans and a checksum of every table of the schema."""
+    schema = _galaxy(spark, folder).stored()
 
     def summary(name, df, key, weight):
         return df.agg(
@@ -191,6 +206,7 @@ QUERIES = {
     "conditional_rate": conditional_rate,
     "dense_surrogate_id": dense_surrogate_id,
     "galaxy_schema": galaxy,
+    "galaxy_sql": galaxy_sql,
     "period_vs_mean": period_vs_mean,
     "rank_in_group": rank_in_group,
     "lag_delta_buckets": lag_delta_buckets,
@@ -243,6 +259,10 @@ ORACLES = {
         SELECT table_name, COUNT(*) AS n_rows, MIN(k) AS min_key, MAX(k) AS max_key,
             CAST(SUM(CAST(k % 97 * w AS DECIMAL(38,0))) AS DOUBLE) AS checksum
         FROM cells GROUP BY table_name""",
+    "galaxy_sql": f"""
+        SELECT n_name, {season_sql("month(o_orderdate)")} AS season, COUNT(*) AS n, ROUND(AVG(l_quantity), 1) AS mean_quantity,
+            COUNT(*) FILTER (WHERE l_returnflag = 'R') AS returned
+        FROM {LINE_NATIONS_SQL} GROUP BY 1, 2""",
     "period_vs_mean": f"""
         WITH yearly AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {_rates("o_orderstatus = 'F'")},
                 ROUND(AVG(o_totalprice), 2) AS mean_value
