@@ -17,7 +17,7 @@ from tidewheel.llm.neardup import near_duplicates
 from tidewheel.llm.packing import pack
 from tidewheel.llm.secret_scan import redact_texts
 
-MIN_LANGUAGE_SCORE = 0.4
+MIN_LANGUAGE_SCORE = 0.3
 
 
 def _key() -> Column:
