@@ -332,9 +332,12 @@ def pair_model(words: Words, factors: np.ndarray, keys: np.ndarray, count: np.nd
 
 
 def _score_bucket(model: Words, factors: np.ndarray, blobs: pa.Table, table: pa.Table) -> pa.Table:
-    """What the pairs of one bucket add to the score of each document."""
+    """What the pairs of one bucket add to the scores of the documents: packed, one row for each blob.
+
+    ``unit`` names the documents that were packed together, by the first of them.
+    """
     pairs = pair_model(model, factors, *_pairs(table))
-    rows, parts = [], []
+    units, docs, parts = [], [], []
     for blob in blobs.select(["h", "w", "n", "doc", "rows"]).to_pylist():
         h, w, n = (np.frombuffer(blob[c], np.uint32).astype(np.uint64) for c in ("h", "w", "n"))
         log = pairs.logs(model, (h << np.uint64(32)) | w)
@@ -342,11 +345,19 @@ def _score_bucket(model: Words, factors: np.ndarray, blobs: pa.Table, table: pa.
         ids = np.frombuffer(blob["rows"], np.int64)
         sums = np.bincount(doc, weights=np.repeat(log, n.astype(np.int64)), minlength=len(ids))
         met = np.unique(doc)
-        rows.append(ids[met])
-        parts.append(sums[met])
-    rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    parts = np.concatenate(parts) if parts else np.zeros(0)
-    return pa.table({"doc_row": pa.array(rows, pa.int64()), "part": pa.array(parts, pa.float64())})
+        units.append(int(ids[0]))
+        docs.append(ids[met].tobytes())
+        parts.append(sums[met].tobytes())
+    return pa.table(
+        {"unit": pa.array(units, pa.int64()), "docs": pa.array(docs, pa.binary()), "parts": pa.array(parts, pa.binary())}
+    )
+
+
+def _add_parts(table: pa.Table) -> pa.Table:
+    """The scores of the documents of one unit: sums over the buckets."""
+    docs, of = np.unique(_joined(table.column("docs"), np.int64), return_inverse=True)
+    score = np.bincount(of, weights=_joined(table.column("parts"), np.float64), minlength=len(docs))
+    return pa.table({"doc_row": docs, "score": score})
 
 
 def held_out(doc_id: str):
@@ -428,9 +439,9 @@ def score_documents(docs: DataFrame, is_held_out, doc_id: str = "doc_id", text:
     parts = (
         asked.groupBy("bucket")
         .cogroup(tables.select("bucket", "h", "w", "n").groupBy("bucket"))
-        .applyInArrow(partial(_score_bucket, model, factors), "doc_row long, part double")
+        .applyInArrow(partial(_score_bucket, model, factors), "unit long, docs binary, parts binary")
     )
-    total = parts.groupBy("doc_row").agg(F.sum("part").alias("score"))
+    total = parts.groupBy("unit").applyInArrow(_add_parts, "doc_row long, score double")
     return coded.drop("ids").join(total, "doc_row", "left").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", F.coalesce("score", F.lit(0.0)).alias("score"),
