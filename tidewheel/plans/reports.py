@@ -181,7 +181,7 @@ def persistence_rate(spark, folder):
         ["user_id"],
         F.col("event_type") == "purchase",
         F.col("next_type") == "purchase",
-        min_rows=30,
+        min_rows=60,
     )
 
 
@@ -336,7 +336,7 @@ ORACLES = {
             COUNT(*) FILTER (WHERE event_type = 'purchase' AND next_type = 'purchase') AS both_hits,
             ROUND(CAST(100.0 AS DOUBLE) * COUNT(*) FILTER (WHERE event_type = 'purchase' AND next_type = 'purchase')
                 / NULLIF(COUNT(*) FILTER (WHERE event_type = 'purchase'), 0), 1) AS persistence_pct
-        FROM e WHERE next_type IS NOT NULL GROUP BY user_id HAVING COUNT(*) >= 30""",
+        FROM e WHERE next_type IS NOT NULL GROUP BY user_id HAVING COUNT(*) >= 60""",
     "league_table": f"""
         WITH g AS (SELECT n_name, COUNT(*) AS n, ROUND(AVG(l_quantity), 1) AS mean_quantity,
                 ROUND(AVG(l_extendedprice), 1) AS mean_price, ROUND(AVG(l_discount), 4) AS mean_discount,
