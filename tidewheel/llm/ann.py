@@ -29,7 +29,8 @@ BUILD_BEAM = 48
 SEARCH_BEAM = 128
 ALPHA = 1.2
 BLOCK = 128
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 512
+SHARDS_AT_ONCE = 16
 
 
 def _distances(points: np.ndarray, which: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -164,33 +165,36 @@ _INDEX = pa.schema(
 _FOUND = pa.schema([("query_id", pa.int64()), ("vector_key", pa.int64()), ("score", pa.float64())])
 
 
-def _search_shard(k: int, beam: int, queries: pa.Table, index: pa.Table) -> pa.Table:
-    """The k best vectors of one shard for each query of one block."""
+def _search_shards(k: int, beam: int, queries: pa.Table, index: pa.Table) -> pa.Table:
+    """The k best vectors of some shards for each query of one block."""
     if not queries.num_rows or not index.num_rows:
         return _FOUND.empty_table()
-    row = index.to_pylist()[0]
-    ids = np.frombuffer(row["keys"], np.int64)
-    vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(ids), -1)
-    graph = np.frombuffer(row["graph"], np.int32).reshape(len(ids), -1)
-    points = _lifted(vectors).astype(np.float32)
     asked = _stacked(queries.column("vector"))
-    out = []
-    for at in range(0, len(asked), BLOCK):
-        part = asked[at : at + BLOCK]
-        lifted = np.concatenate([part, np.zeros((len(part), 1))], axis=1)
-        lifted = (lifted / np.linalg.norm(part, axis=1)[:, None]).astype(np.float32)  # the order is the same
-        found, _, _ = beam_search(points, graph, row["entry"], lifted, min(max(beam, k), len(points)))
-        score = np.einsum("bnd,bd->bn", vectors[found], part)
-        score[found < 0] = -np.inf
-        order = np.argsort(-score, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(at, at + len(part)), order.shape[1])
-        picked = np.take_along_axis(found, order, axis=1).ravel()
-        score = np.take_along_axis(score, order, axis=1).ravel()
-        good = picked >= 0
-        out.append((rows[good], ids[picked[good]], score[good]))
-    rows, keys, scores = (np.concatenate(c) for c in zip(*out, strict=True))
+    lifted = np.concatenate([asked, np.zeros((len(asked), 1))], axis=1)
+    lifted = (lifted / np.linalg.norm(asked, axis=1)[:, None]).astype(np.float32)  # the order is the same
+    best_key = np.full((len(asked), 0), -1, dtype=np.int64)
+    best = np.zeros((len(asked), 0))
+    for row in index.select(["keys", "vectors", "graph", "entry"]).to_pylist():
+        ids = np.frombuffer(row["keys"], np.int64)
+        vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(ids), -1)
+        graph = np.frombuffer(row["graph"], np.int32).reshape(len(ids), -1)
+        points = _lifted(vectors).astype(np.float32)
+        keys, scores = [], []
+        for at in range(0, len(asked), BLOCK):
+            part = slice(at, at + BLOCK)
+            found, _, _ = beam_search(points, graph, row["entry"], lifted[part], min(max(beam, k), len(points)))
+            score = np.einsum("bnd,bd->bn", vectors[found], asked[part])
+            keys.append(np.where(found < 0, -1, ids[found]))
+            scores.append(np.where(found < 0, -np.inf, score))
+        best_key = np.concatenate([best_key, np.concatenate(keys)], axis=1)
+        best = np.concatenate([best, np.concatenate(scores)], axis=1)
+        order = np.lexsort((best_key, -best))[:, :k]
+        best_key, best = np.take_along_axis(best_key, order, axis=1), np.take_along_axis(best, order, axis=1)
+    good = best_key.ravel() >= 0
+    rows = np.repeat(np.arange(len(asked)), best.shape[1])[good]
     query = queries.column("query_id").take(pa.array(rows))
-    return pa.table({"query_id": query, "vector_key": keys, "score": scores}, schema=_FOUND)
+    found = {"query_id": query, "vector_key": best_key.ravel()[good], "score": best.ravel()[good]}
+    return pa.table(found, schema=_FOUND)
 
 
 def _stacked(column: pa.ChunkedArray) -> np.ndarray:
@@ -241,16 +245,19 @@ def nearest(
         _index_shard, "shard int, keys binary, vectors binary, graph binary, entry int"
     )
     index = store(index, "graphs")
-    # One search for each distinct query vector in every shard; a task meets one block of queries and one shard.
+    # One search for each distinct query vector in every shard; a group meets one block of queries and some shards, of which
+    # it keeps the best.
+    groups = -(-shards // SHARDS_AT_ONCE)
     asked = distinct.where("ask").select(F.col("vector_key").alias("query_id"), "vector", "draw")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("draw"), F.lit(blocks)).cast("int"))
-    asked = asked.select("query_id", "vector", "block", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked = asked.select("query_id", "vector", "block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("some"))
+    spread = index.withColumn("some", F.pmod("shard", F.lit(groups)).cast("int"))
+    spread = spread.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = (
-        asked.groupBy("shard", "block")
-        .cogroup(spread.groupBy("shard", "block"))
-        .applyInArrow(partial(_search_shard, k + 1, beam), "query_id long, vector_key long, score double")
+        asked.groupBy("some", "block")
+        .cogroup(spread.groupBy("some", "block"))
+        .applyInArrow(partial(_search_shards, k + 1, beam), "query_id long, vector_key long, score double")
     )
     best = _best(found.select(F.col("query_id").alias("g"), "vector_key", "score"), k + 1, "vector_key")
     merged = best.join(listed, "vector_key").select("g", "vec_id", "score")
