@@ -216,6 +216,13 @@ def test_secret_patterns_and_guess_costs(spark, nothing):
     assert secret_scan.secret_digests(nothing).collect() == []
 
 
+@pytest.mark.parametrize("between", [" is ", " was ", "  is  ", ": ", "=", " = ", " => ", "=>", " -> ", "->"])
+@pytest.mark.parametrize("word", ["password", "'password'", '"api-key"', "credentials", "pwd"])
+def test_every_separator_is_seen_in_a_text_without_other_marks(word, between):
+    text = f"my {word}{between}qX7#vT9!mZ2w and no more"
+    assert secret_scan.redact(text) == f"my {word}{between}[guess] and no more"
+
+
 def test_packing_is_whole_dense_and_balanced(spark, nothing, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
