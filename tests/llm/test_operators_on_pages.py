@@ -89,6 +89,17 @@ def test_derived_records_are_linked_and_keep_headers_and_digests(spark):
     assert warc.derive(source.limit(0)).collect() == []
 
 
+def test_all_entities_are_decoded_once(spark):
+    html = "<p>a&middot;b caf&eacute; &#x2014;&#8212;&#39;&apos; x&nbsp;&#160;&#xA0;y</p><p>&amp;lt; &copy 1 &lt;i&gt; &nosuch; & &#xD800;&#0;</p>"
+    pages = spark.createDataFrame([(1, "u", html), (2, "u", None)], "page_id long, url string, html string")
+    rows = warc.derive(warc.responses(pages), "page_id").where("record_type = 'conversion'").collect()
+    block = {r["page_id"]: r["block"] for r in rows}
+    assert block == {1: "a·b café ——'' x y\n&lt; © 1 <i> &nosuch; & \ufffd\ufffd", 2: ""}
+    for r in rows:
+        assert r["block_digest"] == "sha1:" + hashlib.sha1(r["block"].encode()).hexdigest()
+        assert r["content_length"] == len(r["block"].encode())
+
+
 def test_archives_are_read_and_written(spark, tmp_path):
     http = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>caf\xe9</p>".encode("latin-1")
     head = "WARC/1.0\r\nWARC-Type: {}\r\nWARC-Record-ID: <urn:uuid:{}>\r\nWARC-Target-URI: http://x/\r\nContent-Length: {}\r\n\r\n"

@@ -9,9 +9,10 @@ functions of the content, so a repeated run gives the same records.
 from __future__ import annotations
 
 import gzip
+import html as markup
 import io
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 _LINE = "\r\n"
 
-# Steps from HTML to text, read alike by Spark and DuckDB: pattern, replacement.
+# Steps from HTML to text, read alike by Spark and DuckDB: pattern, replacement. The entities are those of the SQL twin.
 _STEPS = [
     ("(?s)<!--.*?-->", " "),
     ("(?is)<(script|style|noscript|template)[^a-z].*?</(script|style|noscript|template) *>", " "),
@@ -33,17 +34,46 @@ _TIDY = [("[ \t\r]+", " "), (" ?\n[ \n]*", "\n"), ("^[ \n]+", ""), ("[ \n]+$", "
 
 
 def page_text(html: Column) -> Column:
-    """Visible text of a page: one line per block element, blanks collapsed; null html gives empty text."""
-    out = F.coalesce(html.cast("string"), F.lit(""))
-    for pattern, to in _STEPS:
-        out = F.regexp_replace(out, pattern, to)
+    """Visible text of a page: one line per block element, blanks collapsed; null html gives empty text.
+
+    Entities are decoded by the rules of HTML5, named and numeric ones, each once; a no-break space is a blank.
+    """
+
+    @F.arrow_udf("string")
+    def decoded(texts: pa.Array) -> pa.Array:
+        return pa.array([_decoded(t) for t in texts.to_pylist()], pa.string())
+
+    return _tidy(decoded(_untagged(html)))
+
+
+def listed_text(html: Column) -> Column:
+    """``page_text`` as far as the SQL twin of the query goes: of all entities only those in ``_ENTITIES`` are decoded."""
+    out = _untagged(html)
     for entity, to in _ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(to))
-    for pattern, to in _TIDY:
+    return _tidy(out)
+
+
+def _decoded(text: str) -> str:
+    return _ENTITY.sub(lambda m: markup.unescape(m[0]).replace("\xa0", " "), text) if "&" in text else text
+
+
+_ENTITY = re.compile("&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")  # what html.unescape looks at
+
+
+def _untagged(html: Column) -> Column:
+    out = F.coalesce(html.cast("string"), F.lit(""))
+    for pattern, to in _STEPS:
         out = F.regexp_replace(out, pattern, to)
     return out
 
 
+def _tidy(text: Column) -> Column:
+    for pattern, to in _TIDY:
+        text = F.regexp_replace(text, pattern, to)
+    return text
+
+
 def _identifier(*parts: Column) -> Column:
     digest = F.md5(F.concat_ws("|", *parts))
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
@@ -76,10 +106,10 @@ def responses(
     )
 
 
-def derive(records: DataFrame, *keep: str) -> DataFrame:
+def derive(records: DataFrame, *keep: str, to_text: Callable[[Column], Column] = page_text) -> DataFrame:
     """Two records for each response, one row each.
 
-    Input columns are those of ``responses``; ``keep`` names more to carry along. Output:
+    Input columns are those of ``responses``; ``keep`` names more to carry along, ``to_text`` makes text of a payload. Output:
     ``record_type`` (metadata or conversion), ``record_id``, ``refers_to``, ``target_uri``,
     ``date``, ``content_type``, ``source_headers``, ``source_digest``, ``block``,
     ``block_digest`` and ``content_length``. Null fields count as empty, an empty payload gives an empty
@@ -103,11 +133,12 @@ def derive(records: DataFrame, *keep: str) -> DataFrame:
             F.struct(
                 F.lit(kind).alias("record_type"),
                 F.lit(content).alias("content_type"),
-                (page_text(F.col("payload")) if block is None else block).alias("block"),
+                (F.col("visible") if block is None else block).alias("block"),
             )
             for kind, content, block in made
         ]
     )
+    source = source.withColumn("visible", to_text(F.col("payload")))
     one = source.withColumn("made", F.explode(rows)).withColumn("source_digest", digest)
     return one.select(
         *keep,
@@ -204,8 +235,8 @@ def _charset_decoded(http: bytes, body: bytes) -> str:
 
 
 def record_digests(pages: DataFrame) -> DataFrame:
-    """Derived records of all pages, with the block as length and digest."""
-    return derive(responses(pages), "page_id").drop("block", "source_headers", "date")
+    """Derived records of all pages, with the block as length and digest; the text is that of the SQL twin."""
+    return derive(responses(pages), "page_id", to_text=listed_text).drop("block", "source_headers", "date")
 
 
 def _sql(text: str) -> str:
