@@ -9,8 +9,10 @@ to one over the known words and one class of unknown words.
 How it runs. Documents are dealt into chunks by a hash, so that a chunk's distinct words, not its tokens, are
 counted and looked up. Words get numbers in the order of falling counts: the number tells
 the count by a table with one row for each different count (at most the root of twice the tokens).
-Documents are stored as numbers. Word pairs travel in packed arrays to buckets of histories;
-the count tables are stored by bucket, and each bucket scores its share of every document.
+Documents are stored as numbers. A run of some documents sends each of its distinct pairs once, in packed arrays, to
+a bucket by the hash of the whole pair, so that a frequent history is spread over all buckets, and gets the counts back.
+Every bucket adds its share to the sums of its histories, which go to buckets of histories; from there a run gets
+the weights of its distinct histories. A chunk then scores its documents by itself.
 """
 
 from __future__ import annotations
@@ -26,12 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewheel.llm.joins import discard, store
-from tidewheel.llm.textops import slices, split_words, word_hashes
+from tidewheel.llm.textops import mix, slices, split_words, word_hashes
 
 GT_MAX = 5
 CHUNK_BYTES = 8 << 20
 CHUNKS_PER_BUCKET = 8
 BUCKET_TOKENS = 4_000_000
+TABLE_PAIRS = 1 << 20  # in one row of a count table
 UNKNOWN, END = 0xFFFFFFFF, 0xFFFFFFFE  # numbers that no word has
 
 
@@ -207,6 +210,7 @@ def _code_documents(model: Words, chunk: pa.Table, replies: pa.Table) -> pa.Tabl
     base = np.log10((count + 1) / (model.tokens + model.size + 1))
     return pa.table(
         {
+            "chunk": chunk.column("chunk"),
             "doc_id": chunk.column("doc_id"),
             "held_out": chunk.column("held_out"),
             "n_tokens": pa.array(length + 1, pa.int64()),
@@ -217,147 +221,190 @@ def _code_documents(model: Words, chunk: pa.Table, replies: pa.Table) -> pa.Tabl
     )
 
 
-def _pair_blobs(
-    buckets: int, with_docs: bool, batches: Iterator[pa.RecordBatch]
-) -> Iterator[pa.RecordBatch]:
-    """Word pairs of some documents for each bucket: distinct pairs in order, with counts or with the documents."""
+@dataclass
+class Run:
+    """Consecutive documents of one chunk: their distinct pairs and known histories, each in bucket order."""
+
+    of: np.ndarray  # the distinct pair of every token
+    doc: np.ndarray  # the document of every token
+    pairs: np.ndarray  # history << 32 | word
+    pair_edges: np.ndarray  # where each bucket begins
+    histories: np.ndarray
+    history_edges: np.ndarray
+
+
+def _bucket_order(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by bucket, and where each bucket begins."""
+    bucket = ((mix(keys) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _run(ids: pa.Array | pa.ChunkedArray, buckets: int) -> Run:
+    raw = [np.frombuffer(i.as_buffer(), np.uint32) for i in ids]
+    word = np.concatenate(raw).astype(np.uint64)
+    length = np.array([len(r) for r in raw])
+    history = np.empty_like(word)
+    history[1:] = word[:-1]
+    history[np.concatenate(([0], np.cumsum(length)[:-1]))] = END
+    pairs, of = np.unique((history << np.uint64(32)) | word, return_inverse=True)
+    histories = np.unique(pairs >> np.uint64(32))
+    histories = histories[histories != UNKNOWN]
+    order, pair_edges = _bucket_order(pairs, buckets)
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    by_bucket, history_edges = _bucket_order(histories, buckets)
+    doc = np.repeat(np.arange(len(raw)), length)
+    return Run(place[of], doc, pairs[order], pair_edges, histories[by_bucket], history_edges)
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Documents of one chunk that follow each other, with 8 MB of numbers at most (or one document)."""
+    chunk, row = (batch.column(c).to_numpy() for c in ("chunk", "doc_row"))
+    cuts = [0, *(np.flatnonzero((chunk[1:] != chunk[:-1]) | (row[1:] != row[:-1] + 1)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield from slices(batch.slice(a, b - a), "ids", 8 << 20)
+
+
+def _asked_rows(part: pa.RecordBatch, edges: np.ndarray, **blobs: np.ndarray) -> pa.RecordBatch:
+    filled = np.flatnonzero(np.diff(edges))
+    columns = {
+        "chunk": pa.array([part.column("chunk")[0].as_py()] * len(filled), pa.int32()),
+        "first": pa.array([part.column("doc_row")[0].as_py()] * len(filled), pa.int64()),
+        "bucket": pa.array(filled, pa.int32()),
+    }
+    for name, values in blobs.items():
+        columns[name] = pa.array([values[edges[b] : edges[b + 1]].tobytes() for b in filled], pa.binary())
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _ask_pairs(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct pairs of each run for their buckets, with how often its training documents have them."""
     for batch in batches:
-        for part in _blob_slices(batch):
-            raw = [np.frombuffer(i.as_buffer(), np.uint32) for i in part.column("ids")]
-            word = np.concatenate(raw).astype(np.uint64)
-            length = np.array([len(r) for r in raw])
-            doc = np.repeat(np.arange(len(raw)), length)
-            history = np.empty_like(word)
-            history[1:] = word[:-1]
-            history[np.concatenate(([0], np.cumsum(length)[:-1]))] = END
-            pair = (history << np.uint64(32)) | word
-            order = np.argsort(pair, kind="stable")
-            pair, doc = pair[order], doc[order]
-            bucket = _bucket(pair >> np.uint64(32), buckets)
-            order = np.argsort(bucket, kind="stable")
-            pair, doc, bucket = pair[order], doc[order], bucket[order]
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
-            rows = []
-            for b in range(buckets):
-                mine = slice(edges[b], edges[b + 1])
-                if edges[b] == edges[b + 1]:
-                    continue
-                first = np.flatnonzero(np.concatenate(([True], pair[mine][1:] != pair[mine][:-1])))
-                keys = pair[mine][first]
-                runs = np.diff(np.concatenate((first, [edges[b + 1] - edges[b]]))).astype(np.uint32)
-                row = [b, (keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32), runs]
-                rows.append([*row, doc[mine].astype(np.uint16)] if with_docs else row)
-            numbers = part.column("doc_row").to_numpy().astype(np.int64).tobytes() if with_docs else b""
-            columns = [pa.array([r[0] for r in rows], pa.int32())]
-            columns += [pa.array([r[k].tobytes() for r in rows], pa.binary()) for k in range(1, len(rows[0]))]
-            names = ["bucket", "h", "w", "n", "doc"][: len(columns)]
-            if with_docs:
-                columns.append(pa.array([numbers] * len(rows), pa.binary()))
-                names.append("rows")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-
-def _blob_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of documents with 8 MB of numbers, and no more of them than 16 bits can tell apart."""
-    for part in slices(batch, "ids", 8 << 20):
-        for at in range(0, part.num_rows, 1 << 16):
-            yield part.slice(at, 1 << 16)
-
-
-def _bucket(history: np.ndarray, buckets: int) -> np.ndarray:
-    return ((history * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
-
-
-def _pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of some blobs as numbers, and their counts."""
-    joined = [
-        np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32).astype(np.uint64) for c in ("h", "w", "n")
-    ]
-    return (joined[0] << np.uint64(32)) | joined[1], joined[2].astype(np.int64)
-
-
-def _count_pairs(table: pa.Table) -> pa.Table:
-    """The count table of one bucket, packed like the blobs, and its number of pairs with each small count."""
-    pair, n = _pairs(table)
-    keys, of = np.unique(pair, return_inverse=True)
-    count = np.bincount(of, weights=n, minlength=len(keys)).astype(np.int64)
+        for part in _runs(batch):
+            run = _run(part.column("ids"), buckets)
+            held = part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            n = np.bincount(run.of, weights=~held[run.doc], minlength=len(run.pairs)).astype(np.uint32)
+            h, w = (run.pairs >> np.uint64(32)).astype(np.uint32), run.pairs.astype(np.uint32)
+            yield _asked_rows(part, run.pair_edges, h=h, w=w, n=n)
+
+
+def _ask_histories(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct known histories of each run for their buckets."""
+    for batch in batches:
+        for part in _runs(batch):
+            run = _run(part.column("ids"), buckets)
+            yield _asked_rows(part, run.history_edges, h=run.histories.astype(np.uint32))
+
+
+def _pairs(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return (h.astype(np.uint64) << np.uint64(32)) | w
+
+
+def _count_pairs(asked: pa.Table) -> pa.Table:
+    """The counts of each run's pairs in this bucket; and the bucket's count table, in rows of TABLE_PAIRS, the first with
+    its number of pairs with each small count."""
+    keys, of = np.unique(
+        _pairs(_joined(asked.column("h"), np.uint32), _joined(asked.column("w"), np.uint32)), return_inverse=True
+    )
+    count = np.bincount(of, weights=_joined(asked.column("n"), np.uint32), minlength=len(keys)).astype(np.uint32)
+    sizes = [len(b.as_buffer()) // 4 for b in asked.column("h")]
+    edges = np.cumsum([0, *sizes])
+    answers = [count[of[a:b]].tobytes() for a, b in zip(edges, edges[1:])]
     small = [int((count == r).sum()) for r in range(1, GT_MAX + 2)]
-    packed = [(keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32), count.astype(np.uint32)]
+    keys, count = keys[count > 0], count[count > 0]
+    cuts = [slice(a, a + TABLE_PAIRS) for a in range(0, len(keys), TABLE_PAIRS)]
+    packed = [(keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32), count]
+    blank, none = [None] * len(answers), [None] * len(cuts)
     return pa.table(
         {
-            "bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()),
-            **{c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(("h", "w", "n"), packed)},
-            "small": pa.array([small], pa.list_(pa.int64())),
+            "chunk": pa.array(asked.column("chunk").to_pylist() + none, pa.int32()),
+            "first": pa.array(asked.column("first").to_pylist() + none, pa.int64()),
+            "bucket": pa.array(asked.column("bucket").to_pylist() + none, pa.int32()),
+            "data": pa.array(answers + none, pa.binary()),
+            **{c: pa.array(blank + [x[k].tobytes() for k in cuts], pa.binary()) for c, x in zip(("h", "w", "n"), packed)},
+            "small": pa.array(blank + [small if not k.start else None for k in cuts], pa.list_(pa.int64())),
         }
     )
 
 
-@dataclass
-class Pairs:
-    """The pair model of some histories: counted pairs in order, and the backoff weight of each history."""
-
-    keys: np.ndarray
-    log: np.ndarray
-    history: np.ndarray
-    weight: np.ndarray
-
-    def logs(self, words: Words, asked: np.ndarray) -> np.ndarray:
-        """log10 P(word | history) of pairs: a counted pair has its discounted share; any other the history's
-        weight times the single-word probability; after an unseen history the single-word probability stands alone."""
-        out = words.logs((asked & np.uint64(UNKNOWN)).astype(np.int64))
-        if not len(self.keys):
-            return out
-        h = asked >> np.uint64(32)
-        at = np.minimum(np.searchsorted(self.history, h), len(self.history) - 1)
-        out = out + np.where(self.history[at] == h, self.weight[at], 0.0)
-        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-        return np.where(self.keys[at] == asked, self.log[at], out)
-
-
-def pair_model(words: Words, factors: np.ndarray, keys: np.ndarray, count: np.ndarray) -> Pairs:
-    """From all counted pairs ``history << 32 | word`` of some histories, sorted."""
-    history, first = np.unique(keys >> np.uint64(32), return_index=True)
-    if not len(keys):
-        return Pairs(keys, np.zeros(0), history, np.zeros(0))
-    of = np.repeat(np.arange(len(history)), np.diff(np.concatenate((first, [len(keys)]))))
-    total = np.add.reduceat(count, first)
-    prob = _factor(factors, count) * count / total[of]
-    sums = np.bincount(of, weights=prob)
-    whole = 1 - sums < 1e-12  # nothing was discounted: one token's worth is kept for other words
-    prob = np.where(whole[of], count / (total[of] + 1.0), prob)
-    left = np.where(whole, 1 / (total + 1.0), 1 - sums)
-    single = np.power(10.0, words.logs((keys & np.uint64(UNKNOWN)).astype(np.int64)))
-    rest = np.maximum(1 - np.bincount(of, weights=single), 1e-300)
-    return Pairs(keys, np.log10(prob), history, np.log10(left) - np.log10(rest))
-
-
-def _score_bucket(model: Words, factors: np.ndarray, blobs: pa.Table, table: pa.Table) -> pa.Table:
-    """What the pairs of one bucket add to the scores of the documents: packed, one row for each blob.
-
-    ``unit`` names the documents that were packed together, by the first of them.
-    """
-    pairs = pair_model(model, factors, *_pairs(table))
-    units, docs, parts = [], [], []
-    for blob in blobs.select(["h", "w", "n", "doc", "rows"]).to_pylist():
-        h, w, n = (np.frombuffer(blob[c], np.uint32).astype(np.uint64) for c in ("h", "w", "n"))
-        log = pairs.logs(model, (h << np.uint64(32)) | w)
-        doc = np.frombuffer(blob["doc"], np.uint16)
-        ids = np.frombuffer(blob["rows"], np.int64)
-        sums = np.bincount(doc, weights=np.repeat(log, n.astype(np.int64)), minlength=len(ids))
-        met = np.unique(doc)
-        units.append(int(ids[0]))
-        docs.append(ids[met].tobytes())
-        parts.append(sums[met].tobytes())
+def _history_sums(
+    model: Words, factors: np.ndarray, buckets: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """What a part of the count tables adds to its histories: discounted counts, and single-word probabilities."""
+    for batch in batches:
+        for row in zip(*(batch.column(c) for c in ("h", "w", "n"))):
+            h, w, n = (np.frombuffer(x.as_buffer(), np.uint32) for x in row)
+            history, of = np.unique(h, return_inverse=True)
+            kept = np.bincount(of, weights=_factor(factors, n.astype(np.int64)) * n)
+            single = np.bincount(of, weights=np.power(10.0, model.logs(w.astype(np.int64))))
+            order, edges = _bucket_order(history.astype(np.uint64), buckets)
+            filled = np.flatnonzero(np.diff(edges))
+            columns = {"bucket": pa.array(filled, pa.int32())}
+            for name, values in (("h", history[order]), ("kept", kept[order]), ("single", single[order])):
+                columns[name] = pa.array([values[edges[b] : edges[b + 1]].tobytes() for b in filled], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def _weigh_histories(model: Words, asked: pa.Table, sums: pa.Table) -> pa.Table:
+    """For each run's histories in this bucket: log10 of the backoff weight, then of what counts are divided by."""
+    history, of = np.unique(_joined(sums.column("h"), np.uint32), return_inverse=True)
+    kept = np.bincount(of, weights=_joined(sums.column("kept"), np.float64), minlength=len(history))
+    single = np.bincount(of, weights=_joined(sums.column("single"), np.float64), minlength=len(history))
+    total = model.counts(history.astype(np.int64)).astype(np.float64)
+    share = kept / total
+    whole = 1 - share < 1e-12  # nothing was discounted: one token's worth is kept for other words
+    left = np.where(whole, 1 / (total + 1), 1 - share)
+    weight = np.log10(left) - np.log10(np.maximum(1 - single, 1e-300))
+    divisor = np.log10(total + whole)
+    data = []
+    for blob in asked.column("h"):
+        mine = np.frombuffer(blob.as_buffer(), np.uint32)
+        both = np.zeros((2, len(mine)))  # 0 for the end if nothing was trained: single-word probabilities stand alone
+        if len(history):
+            at = np.minimum(np.searchsorted(history, mine), len(history) - 1)
+            hit = history[at] == mine
+            both[:, hit] = weight[at[hit]], divisor[at[hit]]
+        data.append(both.tobytes())
     return pa.table(
-        {"unit": pa.array(units, pa.int64()), "docs": pa.array(docs, pa.binary()), "parts": pa.array(parts, pa.binary())}
+        {
+            **{c: asked.column(c) for c in ("chunk", "first", "bucket")},
+            "data": pa.array(data, pa.binary()),
+        }
     )
 
 
-def _add_parts(table: pa.Table) -> pa.Table:
-    """The scores of the documents of one unit: sums over the buckets."""
-    docs, of = np.unique(_joined(table.column("docs"), np.int64), return_inverse=True)
-    score = np.bincount(of, weights=_joined(table.column("parts"), np.float64), minlength=len(docs))
-    return pa.table({"doc_row": docs, "score": score})
+def _score_chunk(model: Words, factors: np.ndarray, buckets: int, docs: pa.Table, replies: pa.Table) -> pa.Table:
+    """The documents of a chunk with their scores.
+
+    A counted pair has its discounted share; any other the history's weight times the single-word probability;
+    after an unseen history the single-word probability stands alone.
+    """
+    docs, replies = docs.sort_by("doc_row"), replies.sort_by([("first", "ascending"), ("bucket", "ascending")])
+    rows, first = docs.column("doc_row").to_numpy(), replies.column("first").to_numpy()
+    of_pairs = replies.column("of_pairs").to_numpy(zero_copy_only=False).astype(bool)
+    starts, scores = np.unique(first), []
+    if not len(starts) or starts[0] != rows[0]:
+        raise ValueError("a chunk was read with other documents than before")
+    for start, a, b in zip(starts, np.searchsorted(rows, starts), np.append(np.searchsorted(rows, starts[1:]), len(rows))):
+        run = _run(docs.column("ids").slice(a, b - a), buckets)
+        mine = first == start
+        count = _joined(replies.column("data").filter(pa.array(mine & of_pairs)), np.uint32).astype(np.int64)
+        weighed = [np.frombuffer(x.as_buffer()) for x in replies.column("data").filter(pa.array(mine & ~of_pairs))]
+        weight = np.concatenate([x[: len(x) // 2] for x in weighed])
+        divisor = np.concatenate([x[len(x) // 2 :] for x in weighed])
+        if len(count) != len(run.pairs) or len(weight) != len(run.histories):
+            raise ValueError("a run was read with other pairs than before")
+        order = np.argsort(run.histories)
+        h = run.pairs >> np.uint64(32)
+        known = h != UNKNOWN
+        at = order[np.minimum(np.searchsorted(run.histories, h, sorter=order), len(order) - 1)]
+        backed_off = model.logs((run.pairs & np.uint64(UNKNOWN)).astype(np.int64)) + np.where(known, weight[at], 0.0)
+        share = np.log10(np.maximum(_factor(factors, count) * count, 1e-300)) - divisor[at]
+        log = np.where(count > 0, share, backed_off)
+        scores.append(np.bincount(run.doc, weights=log[run.of], minlength=b - a))
+    kept = docs.select(["doc_id", "held_out", "n_tokens", "n_known", "base_score"])
+    return kept.append_column("score", pa.array(np.concatenate(scores)))
 
 
 def held_out(doc_id: str):
@@ -417,32 +464,47 @@ def score_documents(docs: DataFrame, is_held_out, doc_id: str = "doc_id", text:
     )
     replies = store(replies, "word-numbers")
     discard(listed)
-    shape = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, ids binary"
-    coded = dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(partial(_code_documents, model), shape)
+    shape = f"chunk int, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double"
+    coded = dealt.groupBy("chunk").cogroup(replies.groupBy("chunk"))
+    coded = coded.applyInArrow(partial(_code_documents, model), f"{shape}, ids binary")
     coded = store(coded.withColumn("doc_row", F.monotonically_increasing_id()), "numbered-documents")
-
-    buckets = max(1, -(-model.tokens // BUCKET_TOKENS))
-    blobs = partial(_pair_blobs, buckets)
-    trained = coded.where("NOT held_out").select("ids")
-    pairs = trained.mapInArrow(partial(blobs, False), "bucket int, h binary, w binary, n binary")
-    tables = store(
-        pairs.groupBy("bucket").applyInArrow(
-            _count_pairs, "bucket int, h binary, w binary, n binary, small array<bigint>"
+    discard(replies)
+
+    tokens = coded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    buckets = max(1, -(-tokens // BUCKET_TOKENS))
+    asked = "chunk int, first long, bucket int, h binary"
+    runs = coded.select("chunk", "doc_row", "held_out", "ids")
+    pairs = store(
+        runs.mapInArrow(partial(_ask_pairs, buckets), f"{asked}, w binary, n binary")
+        .groupBy("bucket")
+        .applyInArrow(
+            _count_pairs,
+            "chunk int, first long, bucket int, data binary, h binary, w binary, n binary, small array<bigint>",
         ),
         "pair-counts",
     )
-    small = tables.select(F.posexplode("small").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect()
+    small = pairs.select(F.posexplode("small").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect()
     factors = discounts({r["r"] + 1: r["n"] for r in small})
-    asked = coded.select("doc_row", "ids").mapInArrow(
-        partial(blobs, True), "bucket int, h binary, w binary, n binary, doc binary, rows binary"
+    sums = (
+        pairs.where("chunk IS NULL")
+        .select("h", "w", "n")
+        .mapInArrow(partial(_history_sums, model, factors, buckets), "bucket int, h binary, kept binary, single binary")
+    )
+    weights = (
+        runs.mapInArrow(partial(_ask_histories, buckets), asked)
+        .groupBy("bucket")
+        .cogroup(sums.groupBy("bucket"))
+        .applyInArrow(partial(_weigh_histories, model), "chunk int, first long, bucket int, data binary")
     )
-    parts = (
-        asked.groupBy("bucket")
-        .cogroup(tables.select("bucket", "h", "w", "n").groupBy("bucket"))
-        .applyInArrow(partial(_score_bucket, model, factors), "unit long, docs binary, parts binary")
+    weights = store(weights, "history-weights")
+    answers = pairs.where("chunk IS NOT NULL").select("chunk", "first", "bucket", "data", F.lit(True).alias("of_pairs"))
+    answers = answers.unionByName(weights.withColumn("of_pairs", F.lit(False)))
+    scored = (
+        coded.groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
+        .applyInArrow(partial(_score_chunk, model, factors, buckets), shape.removeprefix("chunk int, ") + ", score double")
     )
-    total = parts.groupBy("unit").applyInArrow(_add_parts, "doc_row long, score double")
-    return coded.drop("ids").join(total, "doc_row", "left").select(
+    return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
-        "base_score", F.coalesce("score", F.lit(0.0)).alias("score"),
+        "base_score", "score",
     )
