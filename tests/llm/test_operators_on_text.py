@@ -249,6 +249,29 @@ def test_every_separator_is_seen_in_a_text_without_other_marks(word, between):
     assert secret_scan.redact(text) == f"my {word}{between}[guess] and no more"
 
 
+def test_the_whole_value_is_guessed():
+    def least(value):  # every segmentation into spans, without pruning
+        best = {(0, 0): 0.0}
+        for j in range(1, len(value) + 1):
+            for i in range(max(0, j - 24), j):
+                span = secret_scan._span_cost(value[i:j])
+                for n in range(i + 1):
+                    if (i, n) in best:
+                        best[j, n + 1] = min(best.get((j, n + 1), math.inf), best[i, n] + span)
+        return min(c + math.log10(math.factorial(n)) for (j, n), c in best.items() if j == len(value))
+
+    cost = secret_scan.guesses_log10
+    for value in ("p4ssword#1998", "gT5$kL0@wQ8&", "qwerty" * 5 + "x9", "ab12cd34-2020", "passwordqwertydragonmonkeyletmein1"):
+        assert cost(value, 10) == pytest.approx(cost(value)) or cost(value, 10) == math.inf and cost(value) >= 10
+        assert cost(value) <= least(value) + 1e-9
+    assert cost("gT5$kL0@wQ8&") == pytest.approx(least("gT5$kL0@wQ8&"))
+    strong = "qX7#vT9!mZ2w"
+    for padding in ("1" * 64, "=" * 70, "ab" * 200, "password" * 8, "1234567890" * 7):
+        assert secret_scan.redact(f"pwd -> {padding}{strong}") in ("pwd -> [guess]", "pwd -> [hex]")
+        assert cost(padding, 10) < 10
+    assert cost("x" * 100_000, 10) < 10 and cost(strong * 5_000, 10) == cost(strong, 10) == math.inf
+
+
 def test_packing_is_whole_dense_and_balanced(spark, nothing, texts):
     import public_tokenizers
     from tokenizers import Tokenizer

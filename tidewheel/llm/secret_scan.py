@@ -10,6 +10,7 @@ whose cost reaches the limit are secrets; "changeme", "qwerty123" or a plain wor
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "guess")
 BASE_KINDS = KINDS[:3]
 MIN_GUESSES_LOG10 = 10.0
-MAX_VALUE = 64  # longer values are dearer than any limit: their first characters decide
+MAX_SPAN = 24  # characters of a span, unless it is a repeat or a walk to its end
+MAX_UNIT = 12  # characters that such a long repeat repeats
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -58,8 +60,9 @@ _LEET = str.maketrans("013457@$!", "oieastasi")
 
 def _brute_force(span: str) -> float:
     kinds = ((26, str.islower), (26, str.isupper), (10, str.isdigit))
-    size = sum(n for n, test in kinds if any(test(c) for c in span))
-    size += 33 * any(not c.isalnum() for c in span) or 0
+    chars = set(span)
+    size = sum(n for n, test in kinds if any(test(c) for c in chars))
+    size += 33 * any(not c.isalnum() for c in chars) or 0
     return len(span) * math.log10(max(size, 10))
 
 
@@ -86,25 +89,67 @@ def _span_cost(span: str) -> float:
     return best
 
 
-def guesses_log10(value: str) -> float:
-    """log10 of the guesses needed for a value: the cheapest segmentation, by dynamic programming.
+def guesses_log10(value: str, limit: float = math.inf) -> float:
+    """log10 of the guesses needed for a value: the cheapest segmentation, by dynamic programming; infinite if not below ``limit``.
 
-    ``best[n][j]`` is the cost of the first j characters in n spans; n spans add log10(n!).
-    The empty value costs 0.
+    ``open_ends[j]`` holds, for each number of spans n that may lead to the cheapest segmentation, the cost of the first j
+    characters in n spans; n spans add log10(n!). Costs never fall from left to right, so ends whose cost has reached the
+    limit are not followed. The empty value costs 0.
     """
-    value = value[:MAX_VALUE]
     size = len(value)
-    if not size:
-        return 0.0
-    cost = {(i, j): _span_cost(value[i:j]) for i in range(size) for j in range(i + 1, min(size, i + 24) + 1)}
-    row = [0.0] + [math.inf] * size
-    found = math.inf
-    for n in range(1, min(size, 8) + 1):
-        row = [math.inf] + [
-            min(row[i] + cost[i, j] for i in range(max(0, j - 24), j)) for j in range(1, size + 1)
-        ]
-        found = min(found, row[size] + math.log10(math.factorial(n)))
-    return found
+    open_ends: dict[int, dict[int, float]] = {0: {0: 0.0}}
+    runs = _LongRuns(value)
+    while open_ends:
+        at = min(open_ends)
+        costs = open_ends.pop(at)
+        if at == size:
+            return min(cost + _log_factorial(n) for n, cost in costs.items())
+        least = math.inf
+        for n in sorted(costs):  # more spans must be cheaper than fewer
+            if costs[n] >= least:
+                del costs[n]
+            else:
+                least = costs[n]
+        for end in (*range(at + 1, min(size, at + MAX_SPAN) + 1), *runs.ends(at)):
+            span = _span_cost(value[at:end])
+            for n, cost in costs.items():
+                cost += span
+                if cost + _log_factorial(n + 1) < limit:
+                    known = open_ends.setdefault(end, {})
+                    known[n + 1] = min(cost, known.get(n + 1, math.inf))
+    return math.inf
+
+
+@functools.lru_cache(None)
+def _log_factorial(n: int) -> float:
+    return math.lgamma(n + 1) / math.log(10)
+
+
+class _LongRuns:
+    """Ends of the repeats and keyboard walks of more than MAX_SPAN characters that begin at a place."""
+
+    def __init__(self, value: str) -> None:
+        self.value, self.low = value, [c.lower() for c in value]
+        self.known = [0] * (MAX_UNIT + 1)  # where the last run found of each unit ends; at 0 that of walks
+
+    def ends(self, at: int) -> set[int]:
+        found = set()
+        for unit in range(MAX_UNIT + 1):
+            end = self.known[unit]
+            if end <= at + MAX_SPAN:
+                end = self.known[unit] = self._end(at, unit)
+            end -= (end - at) % unit if unit else 0
+            if end > at + MAX_SPAN:
+                found.add(end)
+        return found
+
+    def _end(self, at: int, unit: int) -> int:
+        end = at + max(unit, 1)
+        while end < len(self.value) and (
+            self.value[end] == self.value[end - unit] if unit else (self.low[end - 1], self.low[end]) in _NEXT
+        ):
+            end += 1
+        return end
 
 
 def scan(text: str | None, limit: float = MIN_GUESSES_LOG10) -> list[tuple[int, int, str]]:
@@ -124,7 +169,7 @@ def scan(text: str | None, limit: float = MIN_GUESSES_LOG10) -> list[tuple[int,
         value = text[start:end].rstrip(".,;:!?)")
         end = start + len(value)
         inside = any(a <= start and end <= b for a, b, _ in base)
-        if not inside and len(value) >= 6 and guesses_log10(value) >= limit:
+        if not inside and len(value) >= 6 and guesses_log10(value, limit) >= limit:
             found.append((start, end, "guess"))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
