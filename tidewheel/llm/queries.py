@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, decontam, katz, langid, url_filter, warc
+from tidewheel.llm import ann, decontam, fim, katz, langid, url_filter, warc
 from tidewheel.llm.neardup import near_duplicates
 from tidewheel.llm.packing import pack
 from tidewheel.llm.secret_scan import secret_digests
@@ -58,6 +58,10 @@ def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
+def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digests(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_url_verdicts": url_verdicts,
     "op2_warc_derivatives": archive_derivatives,
@@ -69,10 +73,12 @@ QUERIES = {
     "op8_secret_scan": secret_spans,
     "op9_minhash_near_dedup": near_duplicate_classes,
     "op10_cost_balanced_packing": packed_sequences,
+    "op12_fill_in_middle": fill_in_middle,
 }
 
 ORACLES = {
     "op1_url_verdicts": url_filter.oracle(url_filter.RULES),
     "op2_warc_derivatives": warc.oracle(),
     "op6_benchmark_contamination": decontam.ORACLE,
+    "op12_fill_in_middle": fim.ORACLE,
 }
