@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, decontam, fim, katz, langid, url_filter, warc
+from tidewheel.llm import ann, decontam, fim, katz, langid, ranked, url_filter, warc
 from tidewheel.llm.neardup import near_duplicates
 from tidewheel.llm.packing import pack
 from tidewheel.llm.secret_scan import secret_digests
@@ -62,6 +62,10 @@ def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fim.digests(_table(spark, folder, "documents"))
 
 
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_url_verdicts": url_verdicts,
     "op2_warc_derivatives": archive_derivatives,
@@ -74,6 +78,7 @@ QUERIES = {
     "op9_minhash_near_dedup": near_duplicate_classes,
     "op10_cost_balanced_packing": packed_sequences,
     "op12_fill_in_middle": fill_in_middle,
+    "op13_ranked_search": ranked_search,
 }
 
 ORACLES = {
@@ -81,4 +86,5 @@ ORACLES = {
     "op2_warc_derivatives": warc.oracle(),
     "op6_benchmark_contamination": decontam.ORACLE,
     "op12_fill_in_middle": fim.ORACLE,
+    "op13_ranked_search": ranked.ORACLE,
 }
