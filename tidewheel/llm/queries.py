@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, decontam, fim, katz, langid, ranked, url_filter, warc
+from tidewheel.llm import ann, decontam, fim, katz, langid, ranked, toxicity, url_filter, warc
 from tidewheel.llm.neardup import near_duplicates
 from tidewheel.llm.packing import pack
 from tidewheel.llm.secret_scan import secret_digests
@@ -58,6 +58,18 @@ def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
+def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    scored = toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        langid.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("clauses").alias("n_clauses"),
+    )
+
+
 def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fim.digests(_table(spark, folder, "documents"))
 
@@ -77,6 +89,7 @@ QUERIES = {
     "op8_secret_scan": secret_spans,
     "op9_minhash_near_dedup": near_duplicate_classes,
     "op10_cost_balanced_packing": packed_sequences,
+    "op11_toxicity_grammar": toxic_documents,
     "op12_fill_in_middle": fill_in_middle,
     "op13_ranked_search": ranked_search,
 }
