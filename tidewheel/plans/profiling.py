@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import profile
+from ..operators import neighbours, profile
 from ..operators.clean import drop_sparse_columns as drop_sparse
 from .tables import NULLED_EVENT_COLUMNS, NULLED_EVENTS_SQL, nulled_events, table
 
@@ -88,6 +88,21 @@ def mutual_info(spark, folder):
     return _rounded(profile.mutual_info(_lines(spark, folder), MEASURES, returned), 8, "mi")
 
 
+NEIGHBOUR_FEATURES = {
+    "value": "CASE WHEN event_id % 13 <> 0 THEN value END",
+    "minute": "hour(ts) * 60 + minute(ts)",
+    "user_id": "user_id",
+    "noise": "event_id * 7919 % 10007",
+}
+
+
+def mutual_info_knn(spark, folder):
+    """Nearest-neighbour information of event columns on the type of the event, in slices however short the table."""
+    events = table(spark, folder, "events").selectExpr("event_type", *[f"{e} AS {n}" for n, e in NEIGHBOUR_FEATURES.items()])
+    found = neighbours.mutual_info_neighbours(events, list(NEIGHBOUR_FEATURES), F.col("event_type"), k=3)
+    return _rounded(found, 8, "mi")
+
+
 def select_features(spark, folder):
     lines = _lines(spark, folder).withColumns({n: F.expr(e) for n, e in DERIVED.items()})
     returned = (F.col("l_returnflag") == "R").cast("int")
@@ -116,6 +131,7 @@ QUERIES = {
     "box_stats": box_stats,
     "corr_matrix": corr_matrix,
     "mutual_info": mutual_info,
+    "mutual_info_knn": mutual_info_knn,
     "select_features": select_features,
     "monthly_means": monthly_means,
     "top_entities": top_entities,
@@ -188,6 +204,31 @@ def _mi_ctes(features):
                 CAST(SUM(n) OVER (PARTITION BY feature, label) AS DOUBLE) AS l FROM joint) GROUP BY feature)"""
 
 
+def _neighbour_sql(k=3):
+    """Distances of all pairs of distinct values; the k + 1 smallest of a value include its own 0."""
+    cells = _union(f"SELECT '{f}' AS feature, CAST({e} AS DOUBLE) AS v, event_type AS y FROM events" for f, e in NEIGHBOUR_FEATURES.items())
+    return f"""
+        WITH cells AS ({cells}),
+        counted AS (SELECT feature, y, v, COUNT(*) AS n, SUM(COUNT(*)) OVER (PARTITION BY feature, y) AS n_y
+            FROM cells WHERE v IS NOT NULL GROUP BY feature, y, v),
+        used AS (SELECT *, LEAST({k}, n_y - 1) AS k_y FROM counted WHERE n_y > 1),
+        copies AS (SELECT feature, y, v, unnest(range(LEAST(n, {k} + 1))) AS c FROM used),
+        nearest AS (SELECT a.feature, a.y, a.v, MIN(abs(a.v - b.v), {k} + 1) AS d
+            FROM used a JOIN copies b ON a.feature = b.feature AND a.y = b.y GROUP BY a.feature, a.y, a.v),
+        radius AS (SELECT u.*, d[CAST(k_y + 1 AS INT)] AS r FROM used u JOIN nearest USING (feature, y, v)),
+        points AS (SELECT feature, v, SUM(n) AS n FROM used GROUP BY ALL),
+        inside AS (SELECT a.feature, a.y, a.v, SUM(p.n) AS m FROM radius a JOIN points p ON a.feature = p.feature
+                AND p.v >= a.v - a.r * 1.001 - 1e-9 AND p.v <= a.v + a.r * 1.001 + 1e-9
+            WHERE CASE WHEN r > 0 THEN abs(a.v - p.v) < r ELSE a.v = p.v END GROUP BY a.feature, a.y, a.v),
+        psi AS (SELECT i + 1 AS i, COALESCE(SUM(1.0 / CASE WHEN i > 0 THEN i END) OVER (ORDER BY i), 0) - 0.5772156649015329 AS p
+            FROM (SELECT CAST(unnest(range((SELECT CAST(COUNT(*) AS BIGINT) FROM events))) AS DOUBLE) AS i))
+        SELECT feature, ROUND(GREATEST(0, any_value(pt.p) + SUM(n * (pk.p - py.p - pm.p)) / any_value(total)), 8) AS mi,
+            CAST(any_value(total) AS BIGINT) AS n
+        FROM radius JOIN inside USING (feature, y, v) JOIN (SELECT feature, SUM(n) AS total FROM used GROUP BY feature) USING (feature)
+        JOIN psi pk ON pk.i = k_y JOIN psi py ON py.i = n_y JOIN psi pm ON pm.i = m JOIN psi pt ON pt.i = total
+        GROUP BY feature"""
+
+
 def _select_features_sql():
     features = [*MEASURES, *DERIVED]
     derived = ", ".join(f"{e} AS {n}" for n, e in DERIVED.items())
@@ -244,6 +285,7 @@ ORACLES = {
     "mutual_info": f"""
         WITH src AS (SELECT *, CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem), {_mi_ctes(MEASURES)}
         SELECT feature, ROUND(mi, 8) AS mi FROM mi""",
+    "mutual_info_knn": _neighbour_sql(),
     "select_features": _select_features_sql(),
     "monthly_means": """
         SELECT CAST(month(o_orderdate) AS INTEGER) AS month, ROUND(AVG(o_totalprice), 2) AS avg_o_totalprice
