@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .category_index import CategoryIndex, fit_category_index
 from .clean import FillValues, fit_fill_values
 from .ordered import dim_id
 
@@ -82,37 +85,107 @@ def assemble_scale(df: DataFrame, inputs: Sequence[str], invalid: str = "error")
     return Pipeline(stages=scaling(inputs, invalid)).fit(df).transform(df)
 
 
-def feature_stages(numeric: Sequence[str], categorical: Sequence[str], encoding: str, unseen: str = "skip") -> list:
-    """Stages from raw columns to ``scaled_features`` for encoding 'index' or 'onehot'."""
-    stages = [indexer(categorical, unseen)]
+def feature_stages(
+    numeric: Sequence[str], categorical: Sequence[str], encoding: str, unseen: str = "skip", large: Sequence[str] = ()
+) -> list:
+    """Stages from raw columns to ``scaled_features`` for encoding 'index' or 'onehot'; ``large`` are indexed already."""
+    stages = [indexer(categorical, unseen)] if categorical else []
     if encoding == "onehot":
-        stages.append(encoder(categorical))
+        stages += [encoder(categorical)] if categorical else []
         encoded = [one_hot_name(c) for c in categorical]
     elif encoding == "index":
         encoded = [index_name(c) for c in categorical]
     else:
         raise ValueError(f"unknown encoding {encoding!r}")
-    return stages + scaling([*numeric, *encoded], "skip")
+    return stages + scaling([*numeric, *encoded, *map(index_name, large)], "skip")
+
+
+@dataclass
+class SkipCounts:
+    """Rows of one scoring pass and why some were skipped; complete once that pass has run.
+
+    A row may be skipped for several causes and counts for each. Reading waits for the pass.
+    """
+
+    given: Observation
+    kept: Observation
+
+    def by_cause(self) -> dict[str, int]:
+        """Rows ``given`` and ``kept``; per column the rows with an ``unseen`` category or a value ``missing``."""
+        return {**self.given.get, **self.kept.get}
 
 
 @dataclass
 class FeatureModel:
-    """Imputation values and fitted feature stages, saved and loaded as one thing."""
+    """Imputation values, category tables and fitted feature stages, saved and loaded as one thing."""
 
     fills: FillValues
     stages: PipelineModel
+    tables: list[CategoryIndex] = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Rows with an unseen category or a null left after imputation are skipped."""
-        return self.stages.transform(self.fills.apply(df))
+        return self.stages.transform(self._known(self._indexed(self.fills.apply(df))))
+
+    def transform_counted(self, df: DataFrame) -> tuple[DataFrame, SkipCounts]:
+        """:meth:`transform`, with counts of the skipped rows that are observed on the pass that uses its result.
+
+        Nothing is scanned or scored twice: each row is looked at before the stages that may skip it.
+        """
+        counts = SkipCounts(Observation("given"), Observation("kept"))
+        filled = self._indexed(self.fills.apply(df))
+        checked, causes = self._causes(filled)
+        seen = checked.observe(counts.given, F.count(F.lit(1)).alias("given"), *causes).select(*filled.columns)
+        done = self.stages.transform(self._known(seen))
+        return done.observe(counts.kept, F.count(F.lit(1)).alias("kept")), counts
+
+    def _indexed(self, df: DataFrame) -> DataFrame:
+        return reduce(lambda d, t: t.transform(d, index_name(t.column)), self.tables, df)
+
+    def _known(self, df: DataFrame) -> DataFrame:
+        return df.dropna(subset=[index_name(t.column) for t in self.tables]) if self.tables else df
+
+    def _causes(self, df: DataFrame):
+        """The rows with an index of each category that keeps unseen values, and a count for each cause."""
+        checked, causes = df, []
+        indexed = {index_name(t.column): t.column for t in self.tables}
+        for index, c in indexed.items():
+            causes.append(F.count_if(F.col(c).isNotNull() & F.col(index).isNull()).alias(f"unseen {c}"))
+            causes.append(F.count_if(F.col(c).isNull()).alias(f"missing {c}"))
+        for stage in self.stages.stages:
+            if isinstance(stage, StringIndexerModel):
+                columns = stage.getInputCols()
+                keeping = stage.copy({stage.handleInvalid: "keep", stage.outputCols: [f"_seen_{c}" for c in columns]})
+                checked = keeping.transform(checked)
+                for c, labels in zip(columns, stage.labelsArray):
+                    new = F.col(c).isNotNull() & (F.col(f"_seen_{c}") == len(labels))
+                    causes += [F.count_if(new).alias(f"unseen {c}"), F.count_if(F.col(c).isNull()).alias(f"missing {c}")]
+            elif isinstance(stage, VectorAssembler):
+                for c in stage.getInputCols():
+                    if c in df.columns and c not in indexed:
+                        number = F.col(c).cast("double")
+                        causes.append(F.count_if(number.isNull() | F.isnan(number)).alias(f"missing {c}"))
+        return checked, causes
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.fills.save(spark, f"{path}/fills")
         self.stages.write().overwrite().save(f"{path}/stages")
+        listed = spark.createDataFrame([(i, t.column) for i, t in enumerate(self.tables)], "place int, column string")
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{path}/tables/list")
+        for i, t in enumerate(self.tables):
+            t.save(f"{path}/tables/{i}")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeatureModel:
-        return cls(FillValues.load(spark, f"{path}/fills"), PipelineModel.load(f"{path}/stages"))
+        """A model saved before there were category tables has none."""
+        try:
+            listed = spark.read.parquet(f"{path}/tables/list").orderBy("place").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            listed = []
+        tables = [CategoryIndex.load(spark, r["column"], f"{path}/tables/{r['place']}") for r in listed]
+        return cls(FillValues.load(spark, f"{path}/fills"), PipelineModel.load(f"{path}/stages"), tables)
 
 
 def fit_features(
@@ -121,12 +194,19 @@ def fit_features(
     categorical: Sequence[str],
     encoding: str = "onehot",
     fills: FillValues | None = None,
+    large: Sequence[str] = (),
 ) -> FeatureModel:
-    """Fit imputation (unless given), encoding and scaling on training rows only."""
-    kept = train.select(*numeric, *categorical).persist(StorageLevel.MEMORY_AND_DISK)  # every stage reads it
+    """Fit imputation (unless given), encoding and scaling on training rows only.
+
+    Categories in ``large`` have any number of values: their index is a stored table that is joined, and one feature
+    in either encoding. They are not imputed.
+    """
+    kept = train.select(*numeric, *categorical, *large).persist(StorageLevel.MEMORY_AND_DISK)  # every stage reads it
     try:
         fills = fills or fit_fill_values(kept, numeric, categorical)
-        stages = Pipeline(stages=feature_stages(numeric, categorical, encoding)).fit(fills.apply(kept))
+        model = FeatureModel(fills, PipelineModel([]), [fit_category_index(kept, c) for c in large])
+        ready = model._known(model._indexed(fills.apply(kept)))
+        model.stages = Pipeline(stages=feature_stages(numeric, categorical, encoding, large=large)).fit(ready)
     finally:
         kept.unpersist()
-    return FeatureModel(fills, stages)
+    return model

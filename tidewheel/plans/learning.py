@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import evaluate, features, models, split
-from ..scratch import scratch_path
+from ..scratch import materialise, scratch_path
 from ..sources import text_messages
 from ..streaming import Scorer, parquet_sink, prepare_rows, read_scored
 from .tables import LINE_KEY, table
@@ -149,6 +149,37 @@ def serving_model_fit(spark, folder):
     )
 
 
+def large_index_model(spark, folder):
+    """Fit, save and load a model whose category has as many values as there are customers, and encode the test orders.
+
+    Orders of customers that training has not met are skipped.
+    """
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    train, test = split.hash_split(orders, ["o_orderkey"])
+    path = scratch_path(spark, "features")
+    features.fit_features(train, ["o_totalprice"], ["o_orderpriority"], "index", large=["o_custkey"]).save(spark, path)
+    encoded = features.FeatureModel.load(spark, path).transform(test)
+    v = vector_to_array("scaled_features")
+    names = ["scaled_totalprice", "scaled_orderpriority", "scaled_custkey"]
+    return encoded.select("o_orderkey", "o_custkey_index", *[F.round(v[i], 6).alias(n) for i, n in enumerate(names)])
+
+
+# What training does not see: one type, one weekday; and a column that is not imputed.
+UNSEEN_SQL = "event_type = 'signup' OR weekday = 'Sun'"
+
+
+def serving_skip_counts(spark, folder):
+    """Score events with categories that training has not met and numbers that are missing: rows by cause, from one pass."""
+    events = raw_events(spark, folder).withColumn("k", F.expr("CASE WHEN event_id % 17 <> 0 THEN k END"))
+    events = prepare_events(events)
+    train, _ = split.hash_split(events.where(f"NOT coalesce({UNSEEN_SQL}, FALSE)"), ["event_id"])
+    fills = features.fit_fill_values(train, ["value"], [])
+    model = features.fit_features(train, NUMERIC, CATEGORICAL, "onehot", fills)
+    encoded, counts = model.transform_counted(events)
+    materialise(encoded.select("event_id", vector_to_array("scaled_features").alias("features")), "encoded")
+    return spark.createDataFrame(list(counts.by_cause().items()), "cause string, n long")
+
+
 def model_compare(spark, folder):
     """Compare all models; per model the rows behind its metrics, and whether Spark's evaluators find the same ones."""
     train, test = _split_events(spark, folder)
@@ -230,6 +261,8 @@ QUERIES = {
     "pivot_metric": pivot_metric,
     "best_model": best_model,
     "serving_model_fit": serving_model_fit,
+    "large_index_model": large_index_model,
+    "serving_skip_counts": serving_skip_counts,
     "model_compare": model_compare,
     "stream_score": stream_score,
 }
@@ -285,8 +318,30 @@ _ENCODED_SQL = f"""
 
 _SPLIT_SQL = "CAST('0x' || substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 700"
 
+_ORDER_SPLIT_SQL = _SPLIT_SQL.replace("event_id", "o_orderkey")
+
 ORACLES = {
     "serving_model_fit": _ENCODED_SQL,
+    "large_index_model": f"""
+        WITH o AS (SELECT *, {_ORDER_SPLIT_SQL} AS in_train FROM orders),
+        {", ".join(f"""{c}_index AS (SELECT {c}, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c}) - 1 AS DOUBLE) AS i_{c}
+            FROM o WHERE in_train GROUP BY {c})""" for c in ("o_custkey", "o_orderpriority"))},
+        e AS (SELECT * FROM o JOIN o_custkey_index USING (o_custkey) JOIN o_orderpriority_index USING (o_orderpriority)),
+        s AS (SELECT STDDEV_SAMP(o_totalprice) AS s1, STDDEV_SAMP(i_o_orderpriority) AS s2, STDDEV_SAMP(i_o_custkey) AS s3
+            FROM e WHERE in_train)
+        SELECT o_orderkey, i_o_custkey AS o_custkey_index, ROUND(o_totalprice / s1, 6) AS scaled_totalprice,
+            ROUND(i_o_orderpriority / s2, 6) AS scaled_orderpriority, ROUND(i_o_custkey / s3, 6) AS scaled_custkey
+        FROM e, s WHERE NOT in_train""",
+    "serving_skip_counts": f"""
+        WITH e AS (SELECT event_id, CASE WHEN event_id % 19 <> 0 THEN event_type END AS event_type, strftime(ts, '%a') AS weekday,
+                CASE WHEN event_id % 17 <> 0 THEN json_extract_string(props, '$.k') END AS k FROM events),
+        f AS (SELECT *, event_type IS NULL AS no_type, event_type = 'signup' AS new_type, weekday = 'Sun' AS new_day,
+            k IS NULL AS no_k FROM e)
+        SELECT unnest(['given', 'kept', 'unseen event_type', 'missing event_type', 'unseen weekday', 'missing weekday',
+                'missing value', 'missing hour', 'missing k', 'missing k_minus_hour', 'missing month']) AS cause,
+            unnest([COUNT(*), COUNT(*) FILTER (WHERE NOT no_type AND NOT new_type AND NOT new_day AND NOT no_k),
+                COUNT(*) FILTER (WHERE new_type), COUNT(*) FILTER (WHERE no_type), COUNT(*) FILTER (WHERE new_day), 0, 0, 0,
+                COUNT(*) FILTER (WHERE no_k), COUNT(*) FILTER (WHERE no_k), 0]) AS n FROM f""",
     "model_compare": f"""
         WITH e AS (SELECT {_SPLIT_SQL} AS in_train, {LABEL_SQL} AS label FROM events),
         c AS (SELECT COUNT(*) FILTER (WHERE in_train) AS train_rows, COUNT(*) FILTER (WHERE NOT in_train) AS test_rows,
