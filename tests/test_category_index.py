@@ -74,9 +74,9 @@ def test_skipped_rows_are_counted_by_cause_on_the_scoring_pass(spark, keyed, tmp
     model = features.fit_features(train, ["x"], ["kind"], fills=features.FillValues(), large=["key"])
     given = keyed.withColumn("x", F.expr("CASE WHEN id % 11 = 0 THEN NULL WHEN id % 11 = 1 THEN double('nan') ELSE x END"))
     given = given.withColumn("kind", F.expr("CASE WHEN id % 13 <> 0 THEN kind END"))
-    encoded, counts = model.transform_counted(given)
-    encoded.write.parquet(str(tmp_path / "out"))
-    found = counts.by_cause()
+    model.transform_marked(given).write.parquet(str(tmp_path / "out"))
+    marked = spark.read.parquet(str(tmp_path / "out"))
+    found = {r["cause"]: r["n"] for r in model.skip_counts(marked).collect()}
     n = lambda condition: given.where(condition).count()
     bad_x = "x IS NULL OR isnan(x)"
     known = [r[0] for r in train.select("key").distinct().collect()]
@@ -89,8 +89,10 @@ def test_skipped_rows_are_counted_by_cause_on_the_scoring_pass(spark, keyed, tmp
         "missing kind": n("kind IS NULL"),
         "missing x": n(bad_x),
     }
-    assert spark.read.parquet(str(tmp_path / "out")).count() == found["kept"]
-    assert rows(encoded, "id") == rows(model.transform(given), "id")
+    v = vector_to_array("scaled_features").alias("v")
+    assert rows(marked.where("size(skipped) = 0"), "id", v) == rows(model.transform(given), "id", v)
+    assert marked.where("size(skipped) > 0 AND scaled_features IS NOT NULL").count() == 0
+    assert marked.count() == 3000 and rows(marked, "id", "kind") == rows(given, "id", "kind")  # columns stay as given
     assert category_index.FREQUENT_VALUES <= 10_000  # what is broadcast stays small
 
 

@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .category_index import CategoryIndex, fit_category_index
@@ -100,21 +100,6 @@ def feature_stages(
     return stages + scaling([*numeric, *encoded, *map(index_name, large)], "skip")
 
 
-@dataclass
-class SkipCounts:
-    """Rows of one scoring pass and why some were skipped; complete once that pass has run.
-
-    A row may be skipped for several causes and counts for each. Reading waits for the pass.
-    """
-
-    given: Observation
-    kept: Observation
-
-    def by_cause(self) -> dict[str, int]:
-        """Rows ``given`` and ``kept``; per column the rows with an ``unseen`` category or a value ``missing``."""
-        return {**self.given.get, **self.kept.get}
-
-
 @dataclass
 class FeatureModel:
     """Imputation values, category tables and fitted feature stages, saved and loaded as one thing."""
@@ -127,17 +112,68 @@ class FeatureModel:
         """Rows with an unseen category or a null left after imputation are skipped."""
         return self.stages.transform(self._known(self._indexed(self.fills.apply(df))))
 
-    def transform_counted(self, df: DataFrame) -> tuple[DataFrame, SkipCounts]:
-        """:meth:`transform`, with counts of the skipped rows that are observed on the pass that uses its result.
+    def transform_marked(self, df: DataFrame) -> DataFrame:
+        """All rows with their features and ``skipped``, the causes for which :meth:`transform` would skip a row.
 
-        Nothing is scanned or scored twice: each row is looked at before the stages that may skip it.
+        A cause is ``unseen`` or ``missing`` and a column; rows that are kept have none, skipped rows have no features. Store
+        the result: the kept rows, the others and :meth:`skip_counts` then come from one scoring pass. Observed
+        metrics would do that too, but in Spark 4.1 an observation makes its session one that cannot be serialised, and
+        every newly fitted logistic regression carries its session into tasks.
         """
-        counts = SkipCounts(Observation("given"), Observation("kept"))
         filled = self._indexed(self.fills.apply(df))
-        checked, causes = self._causes(filled)
-        seen = checked.observe(counts.given, F.count(F.lit(1)).alias("given"), *causes).select(*filled.columns)
-        done = self.stages.transform(self._known(seen))
-        return done.observe(counts.kept, F.count(F.lit(1)).alias("kept")), counts
+        checked = filled
+        for stage in self._indexers():
+            seen = [f"_seen_{c}" for c in stage.getInputCols()]
+            checked = stage.copy({stage.handleInvalid: "keep", stage.outputCols: seen}).transform(checked)
+        marks = [F.when(test, F.lit(cause)) for cause, test in self._causes().items()]
+        given = F.struct(*filled.columns).alias("_given")
+        checked = checked.select(*filled.columns, given, F.array_compact(F.array(*marks)).alias("_skipped"))
+        kept, types = F.size("_skipped") == 0, dict(filled.dtypes)
+        passing = checked.withColumns(
+            {c: F.when(kept, F.col(c)).otherwise(F.lit(v).cast(types[c])) for c, v in self._harmless().items()}
+        )
+        features = F.when(kept, F.col("scaled_features")).alias("scaled_features")
+        return self.stages.transform(passing).select("_given.*", features, F.col("_skipped").alias("skipped"))
+
+    def skip_counts(self, marked: DataFrame) -> DataFrame:
+        """``cause, n`` of a marked table: rows given and kept, and the rows of each cause. A row may have several causes."""
+        counts = {"given": F.count(F.lit(1)), "kept": F.count_if(F.size("skipped") == 0)}
+        counts |= {cause: F.count_if(F.array_contains("skipped", cause)) for cause in self._causes()}
+        rows = [F.struct(F.lit(cause).alias("cause"), n.alias("n")) for cause, n in counts.items()]
+        return marked.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+    def _numbers(self) -> list[str]:
+        """Columns that are assembled as they come."""
+        made = {index_name(t.column) for t in self.tables}
+        for stage in self.stages.stages:
+            if isinstance(stage, VectorAssembler):
+                return [c for c in stage.getInputCols() if c not in made]
+            made.update(stage.getOutputCols())
+        return []
+
+    def _indexers(self) -> list[StringIndexerModel]:
+        return [s for s in self.stages.stages if isinstance(s, StringIndexerModel)]
+
+    def _causes(self) -> dict[str, Column]:
+        """A test for each cause, on rows with indexes that keep unseen values."""
+        causes = {}
+        for t in self.tables:
+            value = F.col(t.column)
+            causes[f"unseen {t.column}"] = value.isNotNull() & F.col(index_name(t.column)).isNull()
+            causes[f"missing {t.column}"] = value.isNull()
+        for stage in self._indexers():
+            for c, labels in zip(stage.getInputCols(), stage.labelsArray):
+                causes[f"unseen {c}"] = F.col(c).isNotNull() & (F.col(f"_seen_{c}") == len(labels))
+                causes[f"missing {c}"] = F.col(c).isNull()
+        for c in self._numbers():
+            number = F.col(c).cast("double")
+            causes[f"missing {c}"] = number.isNull() | F.isnan(number)
+        return causes
+
+    def _harmless(self) -> dict[str, object]:
+        """Values with which a row passes all stages."""
+        words = {c: labels[0] for s in self._indexers() for c, labels in zip(s.getInputCols(), s.labelsArray)}
+        return {**words, **{c: 0 for c in [*self._numbers(), *[index_name(t.column) for t in self.tables]]}}
 
     def _indexed(self, df: DataFrame) -> DataFrame:
         return reduce(lambda d, t: t.transform(d, index_name(t.column)), self.tables, df)
@@ -145,28 +181,6 @@ class FeatureModel:
     def _known(self, df: DataFrame) -> DataFrame:
         return df.dropna(subset=[index_name(t.column) for t in self.tables]) if self.tables else df
 
-    def _causes(self, df: DataFrame):
-        """The rows with an index of each category that keeps unseen values, and a count for each cause."""
-        checked, causes = df, []
-        indexed = {index_name(t.column): t.column for t in self.tables}
-        for index, c in indexed.items():
-            causes.append(F.count_if(F.col(c).isNotNull() & F.col(index).isNull()).alias(f"unseen {c}"))
-            causes.append(F.count_if(F.col(c).isNull()).alias(f"missing {c}"))
-        for stage in self.stages.stages:
-            if isinstance(stage, StringIndexerModel):
-                columns = stage.getInputCols()
-                keeping = stage.copy({stage.handleInvalid: "keep", stage.outputCols: [f"_seen_{c}" for c in columns]})
-                checked = keeping.transform(checked)
-                for c, labels in zip(columns, stage.labelsArray):
-                    new = F.col(c).isNotNull() & (F.col(f"_seen_{c}") == len(labels))
-                    causes += [F.count_if(new).alias(f"unseen {c}"), F.count_if(F.col(c).isNull()).alias(f"missing {c}")]
-            elif isinstance(stage, VectorAssembler):
-                for c in stage.getInputCols():
-                    if c in df.columns and c not in indexed:
-                        number = F.col(c).cast("double")
-                        causes.append(F.count_if(number.isNull() | F.isnan(number)).alias(f"missing {c}"))
-        return checked, causes
-
     def save(self, spark: SparkSession, path: str) -> None:
         self.fills.save(spark, f"{path}/fills")
         self.stages.write().overwrite().save(f"{path}/stages")

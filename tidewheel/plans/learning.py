@@ -175,9 +175,7 @@ def serving_skip_counts(spark, folder):
     train, _ = split.hash_split(events.where(f"NOT coalesce({UNSEEN_SQL}, FALSE)"), ["event_id"])
     fills = features.fit_fill_values(train, ["value"], [])
     model = features.fit_features(train, NUMERIC, CATEGORICAL, "onehot", fills)
-    encoded, counts = model.transform_counted(events)
-    materialise(encoded.select("event_id", vector_to_array("scaled_features").alias("features")), "encoded")
-    return spark.createDataFrame(list(counts.by_cause().items()), "cause string, n long")
+    return model.skip_counts(materialise(model.transform_marked(events), "encoded"))
 
 
 def model_compare(spark, folder):
