@@ -41,7 +41,11 @@ class Scorer:
     required: Sequence[str]
 
     def score(self, messages: DataFrame, counted: bool = False) -> DataFrame:
-        """Message fields plus ``prediction``. ``counted`` observes how many rows pass each step."""
+        """Message fields plus ``prediction``. ``counted`` observes how many rows pass each step.
+
+        Counting also spares work: filters are not pushed below a count, and otherwise those on derived fields would parse
+        the message again for every condition.
+        """
         count = F.count(F.lit(1)).alias("n")
         changes = cdc_unwrap(messages, self.schema)
         if counted:
