@@ -28,6 +28,31 @@ def test_preview_gives_first_rows_and_full_count(spark):
     assert (len(first), total) == (10, 2500)
 
 
+def test_preview_runs_the_query_once(spark):
+    """Rows that pass through the query are counted: no more than the query has."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    wide = spark.range(2500, numPartitions=7).selectExpr("id", "map('k', id) AS m", "array(id) AS a")
+    first, total = preview(wide.mapInArrow(look, wide.schema), 1000)
+    assert [r["id"] for r in first] == list(range(1000)) and first[7]["m"] == {"k": 7} and total == 2500
+    assert passed.value == 2500
+
+
+def test_preview_of_short_and_late_results(spark):
+    assert preview(spark.range(0), 10) == ([], 0)
+    assert preview(spark.range(5), 0) == ([], 5)
+    late = spark.range(2000, numPartitions=20).where("id >= 1900")
+    first, total = preview(late, 10, parts=3)  # the first partitions hold none
+    assert ([r["id"] for r in first], total) == (list(range(1900, 1910)), 100)
+    ordered = spark.range(100, numPartitions=5).orderBy("id", ascending=False)
+    assert [r["id"] for r in preview(ordered, 3)[0]] == [99, 98, 97]
+
+
 def test_jdbc_settings_come_from_the_environment():
     env = {"JDBC_URL": "jdbc:x", "JDBC_USER": "u", "JDBC_PASSWORD": "p"}
     assert jdbc_options(env) == ("jdbc:x", {"user": "u", "password": "p"})

@@ -7,11 +7,12 @@ from pyspark.sql import types as T
 
 from ..operators import clean
 from ..scratch import scratch_path
-from ..sources import read_csv, write_csv
+from ..sources import preview, read_csv, write_csv, write_parquet
 from ..streaming import cdc_unwrap as unwrap
 from .tables import LINE_KEY, NULLED_EVENTS_SQL, nulled_events, table
 
 DOMAIN = ["view", "click", "purchase"]
+FILE_ROWS = 100  # every folder of the round trip holds more, at all test sizes
 
 
 def drop_null_keys(spark, folder):
@@ -100,6 +101,28 @@ def cdc_unwrap(spark, folder):
     return unwrap(event_messages(spark, folder), EVENT_SCHEMA).drop("raw_value")
 
 
+def parquet_roundtrip(spark, folder):
+    """Orders written as parquet in a folder per status, with short files, and read back with the number of their file's rows."""
+    path = scratch_path(spark, "parquet")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    write_parquet(orders, path, partition_by=["o_orderstatus"], max_records_per_file=FILE_ROWS)
+    back = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    longest = back.groupBy("file").count().agg(F.max("count").alias("longest_file"))  # one row
+    return back.drop("file").crossJoin(F.broadcast(longest)).withColumn("longest_file", F.least("longest_file", F.lit(FILE_ROWS + 1)))
+
+
+def report_preview(spark, folder):
+    """The first rows of a sorted report, each with the number of rows of the whole report."""
+    report = table(spark, folder, "events").groupBy("user_id", "event_type").agg(F.round(F.avg("value"), 4).alias("mean_value"))
+    report = report.orderBy("user_id", "event_type")
+    first, total = preview(report, 25)
+    return spark.createDataFrame([(*r, total) for r in first], f"{_shape(report)}, report_rows long")
+
+
+def _shape(df):
+    return ", ".join(f"{name} {kind}" for name, kind in df.dtypes)
+
+
 def csv_roundtrip(spark, folder):
     """Customers with missing cells, written as CSV with the null token and read back."""
     source = table(spark, folder, "customer").withColumns(
@@ -123,6 +146,8 @@ QUERIES = {
     "diff_features": diff_features,
     "cdc_unwrap": cdc_unwrap,
     "csv_roundtrip": csv_roundtrip,
+    "parquet_roundtrip": parquet_roundtrip,
+    "report_preview": report_preview,
 }
 
 
@@ -172,6 +197,12 @@ ORACLES = {
             CASE WHEN event_id % 7 <> 5 THEN user_id END AS user_id,
             CASE WHEN event_id % 7 <> 5 THEN event_type END AS event_type,
             CASE WHEN event_id % 7 < 5 THEN value END AS value FROM events""",
+    "parquet_roundtrip": f"""
+        SELECT o_orderkey, o_totalprice, o_orderdate, o_orderstatus, (SELECT LEAST(MAX(n), {FILE_ROWS}) FROM
+            (SELECT COUNT(*) AS n FROM orders GROUP BY o_orderstatus)) AS longest_file FROM orders""",
+    "report_preview": """
+        WITH r AS (SELECT user_id, event_type, ROUND(AVG(value), 4) AS mean_value FROM events GROUP BY ALL)
+        SELECT *, (SELECT COUNT(*) FROM r) AS report_rows FROM r ORDER BY user_id, event_type LIMIT 25""",
     "csv_roundtrip": """
         SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS c_acctbal,
             CASE WHEN c_custkey % 10 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer""",

@@ -50,6 +50,21 @@ def write_parquet(
     writer.parquet(path)
 
 
-def preview(df: DataFrame, rows: int = 1000) -> tuple[list[Row], int]:
-    """The first rows and the full row count of a query; the count is a pass of its own, and nothing is stored."""
-    return df.take(rows), df.count()
+_ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
+
+
+def preview(df: DataFrame, rows: int = 1000, parts: int = 64) -> tuple[list[Row], int]:
+    """The first rows and the full row count of a query, which runs once; nothing is stored.
+
+    One aggregate keeps both: every task counts, and those of the first ``parts`` partitions also pass on their first
+    ``rows`` rows, so no more than rows x parts meet. Only if these partitions hold fewer rows than asked for, and
+    later ones have some, the rows are taken by a second run, which stops as soon as it has enough.
+    """
+    row_id = F.col("_row_id")
+    early = (F.shiftright(row_id, 33) < parts) & (row_id.bitwiseAND(F.lit(_ROW_BITS)) < rows)
+    kept = F.collect_list(F.when(early, F.struct(row_id.alias("at"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))))
+    in_order = F.array_sort(kept, lambda a, b: F.when(a["at"] < b["at"], -1).otherwise(1))  # rows may hold maps
+    numbered = df.withColumn("_row_id", F.monotonically_increasing_id())
+    found = numbered.agg(F.count(F.lit(1)).alias("n"), F.slice(in_order, 1, max(rows, 1)).alias("kept")).first()
+    head = [r["row"] for r in found["kept"]][:rows]
+    return (head if len(head) >= min(rows, found["n"]) else df.take(rows)), found["n"]
