@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from tidewheel import scratch
 from tidewheel.operators.star import galaxy_schema, save_bucketed
+from tidewheel.plans import reports
 
 
 @pytest.fixture(scope="module")
@@ -47,6 +49,24 @@ def test_sql_over_the_registered_tables(spark, galaxy):
     assert rows(got) == [("Albury", "Autumn", 55.0), ("Albury", "Summer", 33.0), ("Cobar", "Summer", 11.0)]
 
 
+def test_stored_facts_are_bucketed_alike(spark, galaxy):
+    stored = galaxy.stored(4)
+    both = stored.join_facts("rain_fact", "wind_fact")
+    assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+    assert rows(both, "record_id", "rain", "wind") == [(1, 2.0, 20.0), (2, 3.0, 30.0), (3, 1.0, 10.0), (4, 5.0, 50.0)]
+    per_record = stored.facts["rain_fact"].groupBy("record_id").agg(F.sum("rain"))
+    assert "Exchange hashpartitioning" not in per_record._jdf.queryExecution().executedPlan().toString()
+    names = [f.select("record_id")._jdf.queryExecution().analyzed().toString() for f in stored.facts.values()]
+    assert all("tidewheel" in n for n in names)
+
+
+def test_facts_of_the_query_join_without_a_shuffle(spark, folder):
+    schema = reports._galaxy(spark, folder).stored()
+    both = schema.join_facts("price_fact", "shipping_fact")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_bucketed_facts_join_without_a_shuffle(spark, galaxy):
     for name, fact in galaxy.facts.items():
         save_bucketed(fact, f"bucketed_{name}", "record_id", 4)
@@ -56,3 +76,11 @@ def test_bucketed_facts_join_without_a_shuffle(spark, galaxy):
     assert joined.agg(F.sum("wind")).first()[0] == 110.0
     for name in galaxy.facts:
         spark.sql(f"DROP TABLE bucketed_{name}")
+
+
+def test_released_tables_leave_the_catalog(spark, galaxy):
+    """The last test of this file: it deletes what the fixture has stored."""
+    galaxy.stored(2)
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("tidewheel_")]
+    scratch.release(spark)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tidewheel_")]

@@ -47,9 +47,9 @@ def _galaxy(spark, folder):
 
 def galaxy_sql(spark, folder):
     """A report in SQL over the registered tables of the schema."""
-    _galaxy(spark, folder).register()
+    _galaxy(spark, folder).stored().register()
     return spark.sql("""
-        SELECT e.n_name, d.season, COUNT(*) AS n, ROUND(AVG(p.l_quantity), 1) AS mean_quantity,
+        SELECT /*+ MERGE(s) */ e.n_name, d.season, COUNT(*) AS n, ROUND(AVG(p.l_quantity), 1) AS mean_quantity,
             COUNT_IF(s.l_returnflag = 'R') AS returned
         FROM price_fact p JOIN shipping_fact s ON p.record_id = s.record_id
         JOIN entity_dim e ON p.entity_id = e.entity_id JOIN date_dim d ON p.date_id = d.date_id
@@ -71,7 +71,7 @@ def galaxy(spark, folder):
 
     price, shipping = schema.facts["price_fact"], schema.facts["shipping_fact"]
     with_dims = price.join(schema.entity, "entity_id").join(schema.dates, "date_id")
-    both = price.join(shipping.select("record_id", "l_returnflag"), "record_id")
+    both = schema.join_facts("price_fact", "shipping_fact")
     parts = [
         summary("entity_dim", schema.entity, "entity_id", F.length("n_name")),
         summary("date_dim", schema.dates, "date_id", F.col("month") + F.col("quarter") + F.length("season")),

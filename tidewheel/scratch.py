@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 _CONF = "spark.checkpoint.dir"
 _local_root: str | None = None
 _written: list[str] = []
+_tables: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -49,8 +50,25 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_bucketed(df: DataFrame, key: str, buckets: int, label: str = "table") -> DataFrame:
+    """Write ``df`` once, one file for each bucket of ``key`` and sorted by it, and return the stored table.
+
+    Tables with the same key and number of buckets join and group by it without a shuffle. The table is known to the session's
+    catalog under a name of its own until :func:`release`.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    placed = df.repartition(buckets, key)  # as the writer deals rows: every task has one bucket
+    placed.write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
+    _tables.append(name)
+    return spark.table(name)
+
+
 def release(spark: SparkSession) -> int:
     """Delete every table written by this process; call it once results are consumed."""
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
