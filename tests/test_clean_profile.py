@@ -63,6 +63,27 @@ def test_dup_profile_counts_nulls_as_equal(spark):
     assert tuple(profile.dup_profile(df.where("false")).first()) == (0, 2, 0, 0)
 
 
+def test_duplicates_stay_exact_when_hashes_collide(spark):
+    data = [(i % 40, None if i % 3 else "x", float(i % 2) * -0.0) for i in range(400)] + [(None, "1", 0.0), (1, None, 0.0)]
+    df = spark.createDataFrame(data, "a int, b string, c double")
+    exact = (402, 3, df.distinct().count(), 402 - df.distinct().count())
+    for bits in (64, 4, 1):
+        assert tuple(profile.dup_profile(df, bits).first()) == exact
+    nested = df.selectExpr("array(a, 1) AS a", "struct(b, c) AS b")
+    assert profile.dup_profile(nested).first()["distinct_rows"] == nested.distinct().count()
+
+
+def test_cardinality_is_counted_by_type_not_as_text(spark):
+    rows_ = [(1, 1.5, -0.0, True, b"a", "1", dt.date(2020, 1, 1), [1]), (1, 1.5, 0.0, None, b"a", None, dt.date(2020, 1, 2), [2])] * 3
+    df = spark.createDataFrame(rows_, "i int, f float, d double, t boolean, b binary, s string, day date, l array<int>")
+    df = df.withColumns({"money": F.col("i").cast("decimal(10,2)"), "at": F.col("day").cast("timestamp"), "local": F.col("day").cast("timestamp_ntz")})
+    found = profile.cardinality_profile(df)
+    assert {r["column"]: r["distinct_values"] for r in found.collect()} == {
+        "i": 1, "f": 1, "d": 1, "t": 2, "b": 1, "s": 2, "day": 2, "l": 2, "money": 1, "at": 2, "local": 2
+    }
+    assert "as string" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_cardinality_counts_null_as_a_value(gaps):
     exact = by(profile.cardinality_profile(gaps), "column")
     rough = by(profile.cardinality_profile(gaps, approximate=True), "column")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -59,21 +59,59 @@ def missing_severity(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
-def dup_profile(df: DataFrame) -> DataFrame:
-    """Rows, columns, distinct rows and surplus copies of whole rows."""
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))  # copies merge before the shuffle
-    return counted.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
-        F.lit(len(df.columns)).cast("long").alias("total_columns"),
-        F.count(F.lit(1)).alias("distinct_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
-    )
+def dup_profile(df: DataFrame, hash_bits: int = 64) -> DataFrame:
+    """Rows, columns, distinct rows and surplus copies of whole rows.
+
+    What is shuffled is a hash of each row with a count, two numbers in place of the row. A second hash, seeded otherwise, tells
+    groups in which different rows have met; only those bring whole rows, by a second scan that is not made without them.
+    (``hash_bits`` shortens the first hash, so that a test can force such groups.) Runs jobs.
+    """
+    if any(isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) for f in df.schema.fields):
+        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))  # nested zeros would hash by their sign
+        sizes = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+        return _dup_row(df, *sizes)
+    kinds = dict(df.dtypes)
+    cells = [F.col(f"`{c}`") + F.lit(0.0).cast(k) if k in ("double", "float") else F.col(f"`{c}`") for c, k in kinds.items()]
+    # A hash passes over nulls, so where they stand is hashed too.
+    cells = [*cells, *[F.col(f"`{c}`").isNull() for c in kinds]]
+    first = F.shiftrightunsigned(F.xxhash64(*cells), 64 - hash_bits) if hash_bits < 64 else F.xxhash64(*cells)
+    keyed = df.select(first.alias("h"), F.xxhash64(F.lit("second"), *cells).alias("other"))
+    groups = keyed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("other").alias("low"), F.max("other").alias("high"))
+    groups = groups.withColumn("met", F.col("low") != F.col("high"))
+    sizes = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(~F.col("met")).alias("alone"), F.count_if("met").alias("met")
+    ).first()
+    distinct = sizes["alone"]
+    if sizes["met"]:
+        met = materialise(groups.where("met").select(F.col("h").alias("_h")), "met")
+        distinct += df.join(met, first == F.col("_h"), "left_semi").distinct().count()
+    return _dup_row(df, sizes["rows"], distinct)
+
+
+def _dup_row(df: DataFrame, rows: int, distinct: int) -> DataFrame:
+    found = [(rows, len(df.columns), distinct, rows - distinct)]
+    return df.sparkSession.createDataFrame(found, "total_rows long, total_columns long, distinct_rows long, duplicate_rows long")
+
+
+def _family(kind: T.DataType) -> tuple[str, Callable[[Column], Column]]:
+    """The type in which columns of a kind are counted together, and how a value gets there; equal values stay equal."""
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return "bigint", lambda c: c.cast("long")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return "double", lambda c: c.cast("double") + 0.0  # both zeros are one value
+    if isinstance(kind, T.TimestampType):
+        return "bigint", F.unix_micros  # as instants, not as local times, of which an autumn hour would repeat
+    if isinstance(kind, T.DateType):
+        return "bigint", lambda c: F.unix_date(c).cast("long")
+    return kind.simpleString(), lambda c: c
 
 
 def cardinality_profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Distinct values per column, null counted as one value.
 
-    ``approximate`` uses one small sketch per column and shuffles nothing else.
+    Columns are counted in families of a type, all of a family in one pass: every task leaves out repeats first, and what is
+    shuffled is the number of the column and the value as it is, not as text. ``approximate`` uses one small sketch
+    per column and shuffles nothing else.
     """
     columns = columns or df.columns
     if approximate:
@@ -83,10 +121,16 @@ def cardinality_profile(df: DataFrame, columns: Sequence[str] | None = None, app
             distinct_values=lambda c: F.approx_count_distinct(c)
             + F.max(F.when(F.col(c).isNull(), 1).otherwise(0)),
         )
-    # As instants, not as local times, of which an autumn hour would repeat.
-    instants = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
-    typed = df.select(*[F.unix_micros(c).alias(c) if c in instants else F.col(c) for c in columns])
-    return value_counts(typed, columns).groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
+    families: dict[str, list[Column]] = {}
+    for i, c in enumerate(columns):
+        family, typed = _family(df.schema[c].dataType)
+        families.setdefault(family, []).append(F.struct(F.lit(i).alias("i"), typed(F.col(c)).alias("value")))
+    counts = [
+        df.select(F.inline(F.array(*cells))).distinct().groupBy("i").agg(F.count(F.lit(1)).alias("distinct_values"))
+        for cells in families.values()
+    ]
+    name = F.array(*map(F.lit, columns))[F.col("i")].alias("column")
+    return reduce(DataFrame.unionAll, counts).select(name, "distinct_values")
 
 
 def frequency_table(df: DataFrame, columns: Sequence[str], top: int = 30) -> DataFrame:
