@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -272,6 +273,35 @@ def test_the_whole_value_is_guessed():
     assert cost("x" * 100_000, 10) < 10 and cost(strong * 5_000, 10) == cost(strong, 10) == math.inf
 
 
+def test_letters_are_words_only_by_evidence(spark, folder, nothing):
+    """Random letters after a credential word are secrets; words of the documents are not."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    letters = secret_scan.fit_letters(docs)
+    rng = random.Random(6)
+    contexts = ["password is ", "pwd: ", "passphrase => ", "secret was ", "credentials = "]
+    drawn = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=16)) for _ in range(200)]
+    drawn += [w.capitalize() for w in drawn[:50]]
+    caught = [bool(secret_scan.scan(f"my {rng.choice(contexts)}{w} ok", letters=letters)) for w in drawn]
+    assert sum(caught) / len(caught) >= 0.98
+    found = set()
+    for r in docs.limit(150).collect():
+        found.update(w for w in re.findall(r"[^\W\d_]{6,14}", r["text"] or "") if w.islower())
+    plain = rng.sample(sorted(found), 400)
+    kept = [not [s for s in secret_scan.scan(f"my password is {w} ok", letters=letters) if s[2] == "guess"] for w in plain]
+    assert sum(kept) / len(kept) >= 0.95
+    for low, word in (("kqzvxjwpmtrbgfhd", False), ("thingation", True)):
+        assert letters.is_word(low) is word
+    assert secret_scan.fit_letters(nothing) is None
+    assert secret_scan.fit_letters(documents(spark, {1: None, 2: "12 - 3"})) is None
+
+
+def test_letter_pairs_are_counted_in_whole_texts(spark):
+    texts = {1: "ab AB", 2: "é𝒳b", 3: "b"}
+    (batch,) = secret_scan._pairs(iter([pa.RecordBatch.from_pydict({"text": list(texts.values())})]))
+    got = {(p // 28, p % 28): n for p, n in zip(*(c.to_pylist() for c in batch.columns)) if p % 28}
+    assert got == {(0, 1): 2, (1, 2): 2, (0, 27): 1, (27, 27): 1, (27, 2): 1, (0, 2): 1}
+
+
 def test_packing_is_whole_dense_and_balanced(spark, nothing, texts):
     import public_tokenizers
     from tokenizers import Tokenizer

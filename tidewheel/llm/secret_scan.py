@@ -5,7 +5,8 @@ Beside the patterns, whatever follows a credential word ("pwd: ...", "passphrase
 chain of listed words, dates, repeats, keyboard walks, unlisted words and brute-force
 spans, found by dynamic programming over end positions; each span costs the number of
 tries an attacker needs for it, and a chain of n spans costs n! times the product of its spans. Values
-whose cost reaches the limit are secrets; "changeme", "qwerty123" or a plain word are not.
+whose cost reaches the limit are secrets; "changeme", "qwerty123" or a plain word are not. Whether letters are
+a word of some language is judged by their pairs: those of all documents are counted first (:func:`fit_letters`).
 """
 
 from __future__ import annotations
@@ -15,11 +16,15 @@ import hashlib
 import math
 import re
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.llm.textops import raw_bytes, slices
+
 KINDS = ("assign", "access", "hex", "guess")
 BASE_KINDS = KINDS[:3]
 MIN_GUESSES_LOG10 = 10.0
@@ -58,6 +63,56 @@ _UNLISTED_WORD = 5.5  # log10 of the words of a language
 _LEET = str.maketrans("013457@$!", "oieastasi")
 
 
+_LETTERS = 28  # no letter, a to z, and one for all characters beyond ASCII
+_CODES = np.zeros(256, dtype=np.int64)
+_CODES[[*range(0x61, 0x7B)]] = _CODES[[*range(0x41, 0x5B)]] = range(1, 27)
+_CODES[0xC0:] = 27  # first bytes of longer characters
+
+
+class Letters(NamedTuple):
+    """log10 of the tries for each letter after another, and the mean below which letters pass for a word."""
+
+    costs: tuple[tuple[float, ...], ...]
+    limit: float
+
+    def is_word(self, word: str) -> bool:
+        codes = [ord(c) - 96 if "a" <= c <= "z" else 27 for c in word]
+        return sum(self.costs[a][b] for a, b in zip([0, *codes], codes)) <= self.limit * len(codes)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            data, offsets = raw_bytes(part.column("text"))
+            kept = (data < 0x80) | (data >= 0xC0)
+            codes = _CODES[data[kept]]
+            before = np.concatenate(([0], codes[:-1])) if len(codes) else codes
+            starts = np.concatenate(([0], np.cumsum(kept)))[offsets[:-1]]
+            before[starts[starts < len(codes)]] = 0
+            counts = np.bincount(before * _LETTERS + codes, minlength=_LETTERS**2)
+            found = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["pair", "n"])
+
+
+def fit_letters(docs: DataFrame, text: str = "text") -> Letters | None:
+    """Count the letter pairs of all documents; None if they have no letters. At most 784 sums reach the driver.
+
+    Letters pass for a word if their mean cost lies nearer to that of the documents' own letters than to that of letters
+    drawn evenly.
+    """
+    given = docs.select(F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
+    sums = given.mapInArrow(_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(_LETTERS**2)
+    counts[[r["pair"] for r in sums]] = [r["n"] for r in sums]
+    counts = counts.reshape(_LETTERS, _LETTERS)[:, 1:]
+    if not counts.sum():
+        return None
+    smoothed = counts + 0.5
+    costs = -np.log10(smoothed / smoothed.sum(axis=1, keepdims=True))
+    own, even = (counts * costs).sum() / counts.sum(), costs[1:27, :26].mean()
+    return Letters(tuple((math.inf, *map(float, row)) for row in costs), float(own + even) / 2)
+
+
 def _brute_force(span: str) -> float:
     kinds = ((26, str.islower), (26, str.isupper), (10, str.isdigit))
     chars = set(span)
@@ -66,8 +121,8 @@ def _brute_force(span: str) -> float:
     return len(span) * math.log10(max(size, 10))
 
 
-def _span_cost(span: str) -> float:
-    """log10 of the guesses for one span by its cheapest explanation."""
+def _span_cost(span: str, letters: Letters | None = None) -> float:
+    """log10 of the guesses for one span by its cheapest explanation; without ``letters`` all of them are words."""
     low = span.lower()
     cased = 0.0 if span == low else 0.3 if span == low.capitalize() or span.isupper() else 0.3 * len(span)
     best = _brute_force(span)
@@ -75,7 +130,7 @@ def _span_cost(span: str) -> float:
     for form, extra in ((low, 0.0), (low[::-1], 0.3), (plain, 0.3)):
         if rank := _RANKS.get(form):
             best = min(best, math.log10(rank) + cased + extra)
-    if span.isalpha() and len(span) >= 3 and cased <= 0.3:
+    if span.isalpha() and len(span) >= 3 and cased <= 0.3 and (letters is None or letters.is_word(low)):
         best = min(best, _UNLISTED_WORD + cased)
     if len(span) >= 3:
         for unit in range(1, len(span) // 2 + 1):
@@ -89,7 +144,7 @@ def _span_cost(span: str) -> float:
     return best
 
 
-def guesses_log10(value: str, limit: float = math.inf) -> float:
+def guesses_log10(value: str, limit: float = math.inf, letters: Letters | None = None) -> float:
     """log10 of the guesses needed for a value: the cheapest segmentation, by dynamic programming; infinite if not below ``limit``.
 
     ``open_ends[j]`` holds, for each number of spans n that may lead to the cheapest segmentation, the cost of the first j
@@ -111,7 +166,7 @@ def guesses_log10(value: str, limit: float = math.inf) -> float:
             else:
                 least = costs[n]
         for end in (*range(at + 1, min(size, at + MAX_SPAN) + 1), *runs.ends(at)):
-            span = _span_cost(value[at:end])
+            span = _span_cost(value[at:end], letters)
             for n, cost in costs.items():
                 cost += span
                 if cost + _log_factorial(n + 1) < limit:
@@ -152,7 +207,7 @@ class _LongRuns:
         return end
 
 
-def scan(text: str | None, limit: float = MIN_GUESSES_LOG10) -> list[tuple[int, int, str]]:
+def scan(text: str | None, limit: float = MIN_GUESSES_LOG10, letters: Letters | None = None) -> list[tuple[int, int, str]]:
     """Spans ``start, end, kind`` in code points, by start and then by kind as listed in KINDS."""
     if not text:
         return []
@@ -169,7 +224,7 @@ def scan(text: str | None, limit: float = MIN_GUESSES_LOG10) -> list[tuple[int,
         value = text[start:end].rstrip(".,;:!?)")
         end = start + len(value)
         inside = any(a <= start and end <= b for a, b, _ in base)
-        if not inside and len(value) >= 6 and guesses_log10(value, limit) >= limit:
+        if not inside and len(value) >= 6 and guesses_log10(value, limit, letters) >= limit:
             found.append((start, end, "guess"))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
@@ -182,12 +237,12 @@ def spans_text(spans: Iterable[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def redact(text: str | None, limit: float = MIN_GUESSES_LOG10) -> str | None:
+def redact(text: str | None, limit: float = MIN_GUESSES_LOG10, letters: Letters | None = None) -> str | None:
     """The text with every secret replaced by its kind in brackets; overlapping spans count as one."""
     if text is None:
         return None
     out, at = [], 0
-    for start, end, kind in scan(text, limit):
+    for start, end, kind in scan(text, limit, letters):
         if start >= at:
             out += [text[at:start], f"[{kind}]"]
         at = max(at, end)
@@ -198,15 +253,16 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """One row per document: ``doc_id``, ``secrets`` (array of start, end, kind) and ``redacted`` text.
 
     Null text has no secrets and stays null. Rows are independent of each other: repeated
-    rows, null ids and other columns do not matter. Nothing is shuffled.
+    rows, null ids and other columns do not matter. Letter pairs are counted first; nothing else is shuffled.
     """
+    letters = fit_letters(docs, text)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            rows = [[dict(zip(("start", "end", "kind"), s)) for s in scan(t)] for t in texts]
-            masked = pa.array([redact(t) if r else t for t, r in zip(texts, rows)], pa.string())
+            rows = [[dict(zip(("start", "end", "kind"), s)) for s in scan(t, letters=letters)] for t in texts]
+            masked = pa.array([redact(t, letters=letters) if r else t for t, r in zip(texts, rows)], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(rows, kind), masked], ["doc_id", "secrets", "redacted"]
             )
@@ -221,10 +277,11 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def secret_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts per pattern, a digest of the pattern spans, and all spans as text."""
+    letters = fit_letters(docs, text)
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [scan(t) for t in batch.column("text").to_pylist()]
+            found = [scan(t, letters=letters) for t in batch.column("text").to_pylist()]
             base = [spans_text(s for s in spans if s[2] in BASE_KINDS) for spans in found]
             columns = [batch.column("doc_id")]
             columns += [pa.array([sum(s[2] == k for s in spans) for spans in found], pa.int64()) for k in BASE_KINDS]
@@ -245,13 +302,14 @@ def secret_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def redact_texts(docs: DataFrame, text: str = "text", n_chars: str | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, with secrets in the text replaced; ``n_chars`` names its length, if there is one.
 
-    Null texts stay null and keep their length. Rows are independent; nothing is shuffled.
+    Null texts stay null and keep their length. Letter pairs are counted first; nothing else is shuffled.
     """
+    letters = fit_letters(docs, text)
 
     def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             before = batch.column(text).to_pylist()
-            after = [redact(t) for t in before]
+            after = [redact(t, letters=letters) for t in before]
             columns = {name: batch.column(name) for name in batch.schema.names}
             columns[text] = pa.array(after, batch.column(text).type)
             if n_chars in columns:
