@@ -35,26 +35,39 @@ def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return langid.keep_identified(docs, model, MIN_LANGUAGE_SCORE)
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keep one document of each near-duplicate class, that with the smallest id; rows without an id stay.
 
-    Of rows that repeat a kept id one stays.
+    Where ids repeat, rows are compared one by one: a row goes for its own text only, never for its id.
     """
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = store(left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return left
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if store(repeated, "repeated").isEmpty():
+        gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    row = _unused(docs, "_row")
+    numbered = store(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = near_duplicates(numbered.where("doc_id IS NOT NULL"), doc_id=row).select(F.col("doc_id").alias(row), "component_id")
+    ids = numbered.select(row, F.col("doc_id").alias("_id"))
+    first = classes.join(ids, row).groupBy("component_id").agg(F.min(F.struct("_id", row)).alias("_first"))
+    kept = numbered.join(first.select(F.col("_first")[row].alias(row)), row, "left_semi")
+    return kept.select(docs.columns).unionAll(numbered.where("doc_id IS NULL").select(docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    key = _unused(docs, "_key")
     named = docs.select(_key().alias("doc_id"), "text")
-    hit = contamination(named, items).where("contaminated").select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", _key()).join(hit, "_key", "left_anti").select(docs.columns)
+    hit = contamination(named, items).where("contaminated").select(F.col("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, _key()).join(hit, key, "left_anti").select(docs.columns)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
