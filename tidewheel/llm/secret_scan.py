@@ -11,7 +11,6 @@ a word of some language is judged by their pairs: those of all documents are cou
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import math
 import re
@@ -175,7 +174,6 @@ def guesses_log10(value: str, limit: float = math.inf, letters: Letters | None =
     return math.inf
 
 
-@functools.lru_cache(None)
 def _log_factorial(n: int) -> float:
     return math.lgamma(n + 1) / math.log(10)
 

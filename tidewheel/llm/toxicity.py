@@ -17,7 +17,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache, partial
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
@@ -212,11 +212,6 @@ def grammar() -> Transducer:
     return machine
 
 
-@cache
-def _machine() -> Machine:
-    return tabulate(grammar())
-
-
 class Lexicon(NamedTuple):
     """Classes of words, with learned weights of whole words and of stems."""
 
@@ -272,7 +267,7 @@ class Reader:
     MEMORY = 500_000
 
     def __init__(self, lexicon: Lexicon) -> None:
-        self.lexicon, self.known = lexicon, {}
+        self.lexicon, self.machine, self.known = lexicon, tabulate(grammar()), {}
 
     def tag(self, word: str) -> tuple[str, float]:
         found = self.known.get(word)
@@ -294,7 +289,7 @@ class Reader:
 
         def close() -> None:
             if any(s in CORES for s in symbols):
-                weight = _machine().best(symbols, weights)
+                weight = self.machine.best(symbols, weights)
                 if weight > 0:
                     found.append(Clause(start, end, weight))
             symbols.clear()
