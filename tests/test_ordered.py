@@ -110,6 +110,28 @@ def test_running_totals(series):
     assert rows(got.withColumn("upto", F.round("upto", 6))) == rows(expected)
 
 
+def _row_exchanges(df):
+    """Shuffles of rows in the plan; single partitions and broadcasts hold one row per slice."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+
+def test_sliced_rows_move_once(series):
+    at = series.select("at", "key", "value")
+    assert _row_exchanges(ordered.dense_id(at, ["at"], "id", slices=6)) == 0
+    assert _row_exchanges(ordered.running_totals(at, ["at"], {"upto": "at"}, {"all": "at"}, {"next": "at"}, slices=6)) == 0
+    sliced, before, after = ordered._sliced_neighbours(at, ["key"], ["at"], ["value"])
+    assert _row_exchanges(sliced.select("at", before["value"], after["value"])) == 0
+
+
+def test_running_totals_of_nothing_and_of_one_value(series):
+    empty = ordered.running_totals(series.where("false"), ["at"], {"upto": "at"}, slices=3)
+    assert empty.count() == 0
+    same = series.select(F.lit(1).alias("one"), "at").withColumn("o", F.lit(0))
+    got = ordered.running_totals(same, ["o", "at"], {"upto": "one"}, slices=900)  # more buckets than rows in most
+    assert rows(got, "at", "upto") == rows(series.select("at", (F.col("at") + 1).alias("upto")))
+
+
 @pytest.mark.parametrize("limit", [10_000, 5])
 @pytest.mark.parametrize("dense", [False, True])
 def test_rank_over_everything(series, limit, dense):

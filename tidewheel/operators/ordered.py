@@ -2,8 +2,8 @@
 
 Window functions put a whole group in one task. Groups up to ``max_group_rows``
 take that road: one shuffle on the keys. Larger ones are range-partitioned on
-(keys, order) instead, so that a group spreads over many *slices*; what a slice
-has to know about its neighbours is one row per slice, joined back by broadcast.
+(keys, order) instead, so that a group spreads over many *slices*, each stored as a bucket
+of its own: rows move once. What a slice has to know about its neighbours is one row per slice, joined back by broadcast.
 Every row is kept and results equal the plain window's.
 """
 
@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import materialise
+from ..scratch import materialise, materialise_bucketed
 
 # Rows of one group that a single task may sort (it can spill) and walk through.
 MAX_GROUP_ROWS = 4_000_000
@@ -47,10 +47,14 @@ def split_hot(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> tuple[
 
 
 def slice_in_order(df: DataFrame, order: Sequence[Column], slices: int | None = None) -> DataFrame:
-    """Store ``df`` in total order, each row tagged with its slice and its position in it."""
-    target = [slices, *order] if slices else list(order)
+    """Store ``df`` in total order, each row tagged with its slice and its position in it.
+
+    The one shuffle of the rows: the task that sorts a slice stores it as a bucket of its own number, so windows and totals
+    by slice need no second one. Where two slices share a bucket, one task reads both.
+    """
+    buckets = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = (
-        df.repartitionByRange(*target)
+        df.repartitionByRange(*([slices] if slices else []), *order)
         .sortWithinPartitions(*order)
         .select(
             "*",
@@ -58,7 +62,7 @@ def slice_in_order(df: DataFrame, order: Sequence[Column], slices: int | None =
             F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias(POS),
         )
     )
-    return materialise(tagged, "slices")
+    return materialise_bucketed(tagged, SLICE, buckets, "slices", dealt=True)
 
 
 def _totals_before(sliced: DataFrame, sums: Mapping[str, Column]) -> DataFrame:

@@ -50,16 +50,17 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialise_bucketed(df: DataFrame, key: str, buckets: int, label: str = "table") -> DataFrame:
+def materialise_bucketed(df: DataFrame, key: str, buckets: int, label: str = "table", dealt: bool = False) -> DataFrame:
     """Write ``df`` once, one file for each bucket of ``key`` and sorted by it, and return the stored table.
 
-    Tables with the same key and number of buckets join and group by it without a shuffle. The table is known to the session's
-    catalog under a name of its own until :func:`release`.
+    Tables with the same key and number of buckets join and group by it without a shuffle. Rows are first dealt to one task a
+    bucket; ``dealt`` says that no two tasks hold the same key already, so they write what they have. The table is known to the
+    session's catalog under a name of its own until :func:`release`.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    placed = df.repartition(buckets, key)  # as the writer deals rows: every task has one bucket
+    placed = df if dealt else df.repartition(buckets, key)  # as the writer deals rows: every task has one bucket
     placed.write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
     _tables.append(name)
     return spark.table(name)
