@@ -100,6 +100,18 @@ def test_roc_corners_describe_the_same_curve(scored):
     assert _trapezoid(corners) == pytest.approx(_trapezoid(every), abs=1e-12)
 
 
+def test_metrics_of_groups_equal_those_of_each_group(points):
+    grouped = points.withColumn("part", F.when(F.col("id") < 30, "few").when(F.col("id") < 35, None).otherwise("rest"))
+    grouped = grouped.withColumn("label", F.when(F.col("id") % 9 > 0, F.col("label")))
+    label, prediction, score = F.col("label"), (F.col("x") > 7).cast("double"), F.col("x")
+    counts = evaluate.outcome_counts(grouped, ["part"], label, prediction, score)
+    auc, f1 = by(evaluate.auc_by(counts, ["part"], slices=5), "part"), by(evaluate.weighted_f1_by(counts, ["part"]), "part")
+    for part in ("few", None, "rest"):
+        own = grouped.where(F.col("part").eqNullSafe(F.lit(part)) & label.isNotNull())
+        assert tuple(auc[part])[1:] == pytest.approx(tuple(evaluate.auc_score(own, label, score).first()), abs=1e-12)
+        assert tuple(f1[part])[1:] == pytest.approx(tuple(evaluate.weighted_f1(own, label, prediction).first()), abs=1e-12)
+
+
 def test_auc_without_one_class_is_null(points):
     assert evaluate.auc_score(points, F.lit(1.0), F.col("x")).first()["auc"] is None
 
@@ -120,6 +132,12 @@ def test_compare_saves_the_selected_model(spark, points, tmp_path):
     comparison = models.model_compare(train, test, NUMERIC, CATEGORICAL, "label", models=chosen)
     table = comparison.results.collect()
     assert {(r["encoding"], r["model"]) for r in table} == {(e, m) for e in ("index", "onehot") for m in chosen}
+    assert all(r["fit_seconds"] > 0 and r["time_seconds"] >= r["score_seconds"] > 0 for r in table)
+    for r in table:  # one model by itself gives what all together gave
+        alone = models.score(comparison.models[r["encoding"], r["model"]], comparison.features[r["encoding"]], test)
+        exact = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0).evaluate(alone)
+        f1 = MulticlassClassificationEvaluator(metricName="f1").evaluate(alone)
+        assert (r["roc_auc"], r["f1_score"]) == (pytest.approx(exact, abs=1e-12), pytest.approx(f1, abs=1e-12))
     best = max(table, key=lambda r: (r["roc_auc"], r["f1_score"]))
     _, model = comparison.best()
     assert type(model).__name__.startswith(best["model"].replace(" ", "").removesuffix("Regression"))

@@ -22,6 +22,13 @@ def weighted_f1(df: DataFrame, label: Column, prediction: Column) -> DataFrame:
     cells = labelled.groupBy(label.cast("double").alias("label"), prediction.cast("double").alias("prediction")).agg(
         F.count(F.lit(1)).alias("n")
     )
+    per_class = _class_counts(cells, [])
+    f1 = F.lit(2.0) * F.col("tp") / (F.col("actual") + F.col("predicted"))
+    return per_class.agg((F.sum(F.col("actual") * f1) / F.sum("actual")).alias("weighted_f1"), F.sum("actual").alias("n"))
+
+
+def _class_counts(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per class how many rows have it, how many are predicted to, and both, from counts by label and prediction."""
     # Unpivot each cell into the class it belongs to as truth and as prediction.
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     zero = F.lit(0).cast("long")
@@ -29,13 +36,11 @@ def weighted_f1(df: DataFrame, label: Column, prediction: Column) -> DataFrame:
         F.struct(F.col("label").alias("class"), F.col("n").alias("actual"), zero.alias("predicted"), hit.alias("tp")),
         F.struct(F.col("prediction").alias("class"), zero.alias("actual"), F.col("n").alias("predicted"), zero.alias("tp")),
     )
-    per_class = (
-        cells.select(F.inline(sides))
-        .groupBy("class")
+    return (
+        cells.select(*keys, F.inline(sides))
+        .groupBy(*keys, "class")
         .agg(*[F.sum(c).alias(c) for c in ("actual", "predicted", "tp")])
     )
-    f1 = F.lit(2.0) * F.col("tp") / (F.col("actual") + F.col("predicted"))
-    return per_class.agg((F.sum(F.col("actual") * f1) / F.sum("actual")).alias("weighted_f1"), F.sum("actual").alias("n"))
 
 
 def score_counts(df: DataFrame, label: Column, score: Column) -> DataFrame:
@@ -88,6 +93,51 @@ def auc_score(df: DataFrame, label: Column, score: Column, slices: int | None =
     )
 
 
+def outcome_counts(
+    df: DataFrame, keys: Sequence[str], label: Column, prediction: Column, score: Column
+) -> DataFrame:
+    """Rows per group, label, prediction and score: all that the metrics of scored rows need, from one pass over them.
+
+    Rows without a label do not count. ``keys`` must not be named label, prediction, score or n.
+    """
+    cells = [label.cast("double").alias("label"), prediction.cast("double").alias("prediction"), score.alias("score")]
+    return df.where(label.isNotNull()).groupBy(*keys, *cells).agg(F.count(F.lit(1)).alias("n"))
+
+
+def auc_by(counts: DataFrame, keys: Sequence[str], slices: int | None = None) -> DataFrame:
+    """:func:`auc_score` of every group of :func:`outcome_counts`, by one running count over all groups.
+
+    A group's own true positives are the running count less what came before the group, so many groups and groups of any
+    size share one range-partitioned pass. ``auc`` is null where one class is missing.
+    """
+    positive = F.col("label") == 1.0
+    per_score = counts.groupBy(*keys, "score").agg(
+        F.sum(F.when(positive, F.col("n")).otherwise(0)).alias("pos"),
+        F.sum(F.when(positive, 0).otherwise(F.col("n"))).alias("neg"),
+    )
+    steps = running_totals(per_score, [*keys, F.col("score").desc()], {"tp": "pos"}, slices=slices)
+    pairs = F.col("neg").cast("double") * (2 * F.col("tp") - F.col("pos")) / 2
+    sums = steps.groupBy(*keys).agg(
+        F.sum(pairs).alias("_pairs"),
+        F.min(F.col("tp") - F.col("pos")).alias("_before"),
+        F.sum("pos").alias("positives"),
+        F.sum("neg").alias("negatives"),
+    )
+    every = F.col("positives").cast("double") * F.col("negatives")
+    area = F.col("_pairs") - F.col("_before").cast("double") * F.col("negatives")
+    return sums.select(*keys, (area / F.nullif(every, F.lit(0.0))).alias("auc"), "positives", "negatives")
+
+
+def weighted_f1_by(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """:func:`weighted_f1` of every group of :func:`outcome_counts`."""
+    cells = counts.groupBy(*keys, "label", "prediction").agg(F.sum("n").alias("n"))
+    per_class = _class_counts(cells, keys)
+    f1 = F.lit(2.0) * F.col("tp") / (F.col("actual") + F.col("predicted"))
+    return per_class.groupBy(*keys).agg(
+        (F.sum(F.col("actual") * f1) / F.sum("actual")).alias("weighted_f1"), F.sum("actual").alias("n")
+    )
+
+
 def pivot_metric(
     df: DataFrame, row: str, column: str, values: Sequence[str], metric: str, digits: int | None = None
 ) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -182,18 +181,16 @@ def model_compare(spark, folder):
     """Compare all models; per model the rows behind its metrics, and whether Spark's evaluators find the same ones."""
     train, test = _split_events(spark, folder)
     compared = models.model_compare(train, test, NUMERIC, CATEGORICAL, "label")
-    metrics = {(r["encoding"], r["model"]): r for r in compared.results.collect()}  # one row per model
-    auc = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0)
+    n_train, n_test = train.count(), test.count()
+    auc = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
     f1 = MulticlassClassificationEvaluator(metricName="f1")
     rows = []
-    for (encoding, name), model in compared.models.items():
-        scored = models.score(model, compared.features[encoding], test).select("label", "prediction", "probability")
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        found = metrics[encoding, name]
+    for found in compared.results.collect():  # one row per model
+        pair = found["encoding"], found["model"]
+        scored = compared.scores.where((F.col("encoding") == pair[0]) & (F.col("model") == pair[1]))
         agree = [abs(e.evaluate(scored) - found[m]) < 1e-9 for e, m in ((auc, "roc_auc"), (f1, "f1_score"))]
         counts = scored.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1)).first()
-        rows.append((encoding, name, train.count(), *counts, test.count() - counts[0], *agree))
-        scored.unpersist()
+        rows.append((*pair, n_train, *counts, n_test - counts[0], *agree))
     return spark.createDataFrame(
         rows,
         "encoding string, model string, train_rows long, test_rows long, test_positives long, skipped_rows long, "

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import band, season_of
 from ..operators import analytics
-from ..operators.ordered import dense_id, with_neighbours
+from ..operators.ordered import dense_id, dim_id, with_neighbours
 from ..operators.star import galaxy_schema
 from .tables import LINE_KEY, LINE_NATIONS_SQL, ORDER_NATIONS_SQL, line_nations, order_nations, season_sql, table
 
@@ -32,6 +32,12 @@ def dense_surrogate_id(spark, folder):
     return dense_id(orders, ["o_orderdate", "o_orderkey"], "order_id")
 
 
+def dimension_id(spark, folder, **limit):
+    """A dimension of all ordered parts and their first order, in the order of their keys."""
+    parts = table(spark, folder, "lineitem").groupBy("l_partkey").agg(F.min("l_orderkey").alias("first_order"))
+    return dim_id(parts, ["l_partkey"], "part_id", **limit)
+
+
 def _galaxy(spark, folder):
     return galaxy_schema(
         line_nations(spark, folder),
@@ -185,7 +191,7 @@ def persistence_rate(spark, folder):
     )
 
 
-def league_table(spark, folder):
+def league_table(spark, folder, **limit):
     return analytics.league_table(
         line_nations(spark, folder),
         "n_name",
@@ -199,12 +205,15 @@ def league_table(spark, folder):
         },
         {"total_price": (F.col("l_extendedprice").cast("decimal(18,2)"), 0)},
         _returned(),
+        **limit,
     )
 
 
 QUERIES = {
     "conditional_rate": conditional_rate,
     "dense_surrogate_id": dense_surrogate_id,
+    "dimension_id": dimension_id,
+    "dimension_id_hot": partial(dimension_id, max_group_rows=HOT_GROUP_ROWS),
     "galaxy_schema": galaxy,
     "galaxy_sql": galaxy_sql,
     "period_vs_mean": period_vs_mean,
@@ -217,6 +226,7 @@ QUERIES = {
     "longest_calendar_runs": longest_calendar_runs,
     "persistence_rate": persistence_rate,
     "league_table": league_table,
+    "league_table_hot": partial(league_table, max_group_rows=2),
     "rank_in_group_hot": partial(rank_in_group, max_group_rows=2),
     "lag_delta_buckets_hot": partial(lag_delta_buckets, max_group_rows=HOT_GROUP_ROWS),
     "decile_rate_hot": partial(decile_rate, max_group_rows=HOT_GROUP_ROWS),
@@ -238,6 +248,9 @@ ORACLES = {
         GROUP BY n_name, o_orderpriority HAVING COUNT(*) >= 50""",
     "dense_surrogate_id": """
         SELECT o_orderdate, o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) AS order_id FROM orders""",
+    "dimension_id": """
+        SELECT l_partkey, MIN(l_orderkey) AS first_order, ROW_NUMBER() OVER (ORDER BY l_partkey) AS part_id
+        FROM lineitem GROUP BY l_partkey""",
     "galaxy_schema": f"""
         WITH flat AS (SELECT *, CAST(o_orderdate AS DATE) AS full_date FROM {LINE_NATIONS_SQL}),
         entity_dim AS (SELECT n_name, ROW_NUMBER() OVER (ORDER BY n_name) AS entity_id
@@ -350,4 +363,5 @@ ORACLES = {
         FROM g""",
 }
 
-ORACLES |= {f"{name}_hot": ORACLES[name] for name in ("rank_in_group", "lag_delta_buckets", "decile_rate", "longest_runs")}
+_HOT = ("rank_in_group", "lag_delta_buckets", "decile_rate", "longest_runs", "dimension_id", "league_table")
+ORACLES |= {f"{name}_hot": ORACLES[name] for name in _HOT}
