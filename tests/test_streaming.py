@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
 
 from helpers import rows
 from tidewheel.operators.features import fit_features
@@ -102,6 +103,34 @@ def test_a_replayed_batch_replaces_its_rows(spark, scorer, inbox, tmp_path):
     assert read_scored(spark, f"{tmp_path}/out").count() == scorer.score(spark.read.text(inbox)).count() > 0
 
 
+def test_readers_see_the_old_batch_or_the_new_one(spark, tmp_path, monkeypatch):
+    out = f"{tmp_path}/out"
+    sink = parquet_sink(out)
+    batch = spark.range(40, numPartitions=4)
+    sink(batch.where("id < 7"), 0)
+    sink(batch.where("id < 9"), 1)
+    before = rows(read_scored(spark, out))
+    assert len(before) == 16
+    breaks = F.when(F.col("id") == 39, F.raise_error(F.lit("lost between files"))).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="lost between files"):
+        sink(batch.select(breaks.cast("long").alias("id")), 1)  # some tasks have written, the last one fails
+    assert rows(read_scored(spark, out)) == before
+
+    def lost(*args):
+        raise RuntimeError("lost before publishing")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("tidewheel.streaming.score.publish", lost)
+        with pytest.raises(RuntimeError, match="lost before publishing"):
+            sink(batch, 1)  # all files are there, but nobody may read them yet
+    assert rows(read_scored(spark, out)) == before
+    sink(batch, 1)
+    assert rows(read_scored(spark, out).where("batch_id = 1"), "id") == [(i,) for i in sorted(range(40), key=str)]
+    assert read_scored(spark, out).where("batch_id = 0").count() == 7
+    sink(batch.where("false"), 0)  # an empty try takes the place of a full one
+    assert read_scored(spark, out).where("batch_id = 0").count() == 0
+
+
 def test_a_batch_without_valid_rows(spark, scorer, tmp_path):
     spark.createDataFrame([("broken",)], "value string").write.text(f"{tmp_path}/in")
     query = _run(spark, scorer, parquet_sink(f"{tmp_path}/out"), f"{tmp_path}/in", tmp_path / "offsets")

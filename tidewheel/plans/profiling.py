@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import neighbours, profile
+from ..operators import neighbours, profile, quantile_state
 from ..operators.clean import drop_sparse_columns as drop_sparse
+from ..scratch import materialise
 from .tables import NULLED_EVENT_COLUMNS, NULLED_EVENTS_SQL, nulled_events, table
 
 LINE_NUMBERS = {
@@ -51,6 +52,40 @@ def drop_sparse_columns(spark, folder):
     return drop_sparse(nulled_events(spark, folder), 30.0)
 
 
+STATE_PROBABILITIES = [0.0, 0.1, 0.5, 0.9, 1.0]
+RANK_TOLERANCE = 0.01  # 3.6 times the error that a sketch keeps to with a probability of 0.99
+
+
+def merged_quantiles(spark, folder):
+    """Sketches per ship month and return flag, stored and then merged per flag: counts, ends and true ranks of the answers."""
+    lines = _lines(spark, folder)
+    months = lines.withColumn("month", F.trunc("l_shipdate", "month"))
+    state = materialise(quantile_state.quantile_state(months, ["month", "l_returnflag"], MEASURES), "sketches")
+    merged = quantile_state.merge_state(state, ["l_returnflag"], MEASURES)
+    found = quantile_state.state_quantiles(merged, ["l_returnflag"], MEASURES, STATE_PROBABILITIES)
+    found = materialise(found, "quantiles")  # a row per flag and column
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in MEASURES])
+    values = lines.select("l_returnflag", F.inline(cells))
+    asked = range(len(STATE_PROBABILITIES))
+    ranks = values.join(found, ["l_returnflag", "column"]).groupBy("l_returnflag", "column", "n", "quantiles").agg(
+        F.array(*[F.count_if(F.col("value") < F.col("quantiles")[i]) for i in asked]).alias("below"),
+        F.array(*[F.count_if(F.col("value") <= F.col("quantiles")[i]) for i in asked]).alias("upto"),
+    )
+    slack = F.col("n") * RANK_TOLERANCE
+    close = [
+        (F.col("below")[i] <= F.col("n") * p + slack) & (F.col("upto")[i] >= F.col("n") * p - slack)
+        for i, p in enumerate(STATE_PROBABILITIES)
+    ]
+    return ranks.select(
+        "l_returnflag",
+        F.col("column").alias("measure"),
+        "n",
+        F.col("quantiles")[0].alias("least"),
+        F.col("quantiles")[len(asked) - 1].alias("greatest"),
+        F.array_min(F.array(*close)).alias("ranks_hold"),
+    )
+
+
 def dup_profile(spark, folder):
     return profile.dup_profile(_repeated_events(spark, folder))
 
@@ -119,6 +154,7 @@ def top_entities(spark, folder):
 
 
 QUERIES = {
+    "merged_quantiles": merged_quantiles,
     "missing_profile": missing_profile,
     "missing_severity": missing_severity,
     "drop_sparse_columns": drop_sparse_columns,
@@ -247,6 +283,11 @@ def _select_features_sql():
 
 
 ORACLES = {
+    "merged_quantiles": " UNION ALL ".join(
+        f"SELECT l_returnflag, '{c}' AS measure, COUNT({c}) AS n, MIN({c}) AS least, MAX({c}) AS greatest, TRUE AS ranks_hold "
+        f"FROM lineitem GROUP BY l_returnflag"
+        for c in MEASURES
+    ),
     "missing_profile": f"WITH {NULLED_EVENTS_SQL} {_missing_sql()}",
     "missing_severity": f"""
         WITH {NULLED_EVENTS_SQL}, p AS ({_missing_sql()})

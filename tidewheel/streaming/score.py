@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -97,20 +98,45 @@ def batch_counts(query: StreamingQuery) -> list[dict[str, int]]:
     return counts
 
 
+PUBLISHED = "_published"  # names with an underscore are no data to a reader of the folder
+_PUBLISHED_SCHEMA = "batch_id long, try string, published timestamp"
+
+
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Write each batch to its own partition folder, replacing what a failed try left there."""
+    """Write each batch to a folder of its own, then publish it; :func:`read_scored` sees published batches only.
+
+    Every try at a batch has its own folder and nothing is replaced in place, so a reader sees a batch as it was or as it
+    is, never half of it. One line, added as one file, publishes a try and takes the place of an earlier one.
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        name = f"t{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(f"{path}/batch_id={batch_id}/try={name}")
+        publish(df.sparkSession, path, batch_id, name)
 
     return write
 
 
+def publish(spark: SparkSession, path: str, batch_id: int, name: str) -> None:
+    """Make a finished try the one that readers take."""
+    line = spark.range(1).select(
+        F.lit(batch_id).cast("long").alias("batch_id"), F.lit(name).alias("try"), F.current_timestamp().alias("published")
+    )
+    line.coalesce(1).write.mode("append").parquet(f"{path}/{PUBLISHED}")
+
+
+def published_tries(spark: SparkSession, path: str) -> DataFrame:
+    """``batch_id`` and ``try`` of the try to read, for every published batch."""
+    lines = spark.read.schema(_PUBLISHED_SCHEMA).parquet(f"{path}/{PUBLISHED}")
+    return lines.groupBy("batch_id").agg(F.max_by("try", F.struct("published", "try")).alias("try"))
+
+
 def jdbc_sink(url: str, table: str, properties: Mapping[str, str]) -> Callable[[DataFrame, int], None]:
     """Append each batch with its id. At least once: read through ``latest_batch``."""
     return lambda df, batch_id: write_jdbc(df, url, table, properties, batch_id)
 
 
 def read_scored(spark: SparkSession, path: str) -> DataFrame:
-    """All scored batches, with their ``batch_id``."""
-    return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
+    """All published batches, with their ``batch_id``. Folders of tries that were never published are pruned."""
+    stored = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+    return stored.join(published_tries(spark, path), ["batch_id", "try"], "left_semi").drop("try")
