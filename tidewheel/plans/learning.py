@@ -211,7 +211,6 @@ def stream_score(spark, folder):
     regression.fit(fitted.transform(train)).write().save(f"{saved}/model")
 
     messages = event_messages(raw_events(spark, folder))
-    messages.write.text(inbox)
     scorer = Scorer(
         RAW_SCHEMA,
         features.FeatureModel.load(spark, f"{saved}/features"),
@@ -219,8 +218,11 @@ def stream_score(spark, folder):
         prepare_events,
         ["event_id", "month"],
     )
-    query = scorer.start(text_messages(spark, inbox), parquet_sink(outbox), checkpoint, available_now=True)
-    query.awaitTermination()
+    only_deletes = event_messages(raw_events(spark, folder).where("event_id % 47 = 0"))
+    for arriving in (messages, only_deletes):  # the second batch leaves nothing to score
+        arriving.write.mode("append").text(inbox)
+        query = scorer.start(text_messages(spark, inbox), parquet_sink(outbox), checkpoint, available_now=True)
+        query.awaitTermination()
     # Scored from the stored messages and stored: together with their making it is a plan that costs more than its data.
     batch = scorer.score(spark.read.text(inbox), counted=True).select("event_id", F.col("prediction").alias("_batch"))
     batch = materialise(batch, "batch-scores")
