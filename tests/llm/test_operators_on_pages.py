@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,39 @@ def test_longest_rule_decides_and_blocks_reach_aliases(spark):
     ]
 
 
+def test_targets_are_resolved_and_every_link_counts(spark, tmp_path):
+    """Each even page is blocked through a link to the page before it; Spark and DuckDB agree on all of them."""
+    many = LINK.format("http://a.com/none") + LINK.format("/none2") + REFRESH.format("http://a.com/none3")
+    rows = [
+        (1, "http://example.org/es/", None),
+        (2, "http://e2.net", LINK.format("http://example.org/es/")),
+        (4, "http://e4.net/x", LINK.format("http://e2.net/")),  # an empty path is /
+        (6, "http://e6.net/p?a=1", LINK.format("http://example.org/es/?v=1")),
+        (7, "http://e6.net/q", LINK.format("p?a=1&amp;b=2")),
+        (8, "http://e6.net/p", LINK.format("?a=1")),
+        (10, "http://e6.net/d/e/f", LINK.format("../../p")),
+        (12, "http://e6.net/d/e/", LINK.format("./../../d/./e/f")),
+        (14, "http://e6.net/up", many + LINK.format("http://example.org/es/") + many),
+        (15, "http://e6.net/share", LINK.format("/go?to=http://example.org/es/")),  # a url in the query is no target
+        (16, "http://e7.net/a/..", LINK.format("HTTP://EXAMPLE.ORG/es/#top")),
+        (18, "http://e8.net/", LINK.format("http://e7.net")),
+        (19, "http://e9.net/", LINK.format("#top") + LINK.format("")),
+        (21, "http://e6.net/p%", LINK.format("../../../..")),  # above the top is the top
+        (23, None, many),
+        (25, "", many),
+    ]
+    pages = _pages(spark, rows).select("page_id", "url", "html")
+    judged = url_filter.judge(pages, url_filter.RULES)
+    verdicts = {r["page_id"]: r["verdict"] for r in judged.collect()}
+    assert {i for i, v in verdicts.items() if v == "block"} == {1, *(i for i, *_ in rows if i % 2 == 0)}
+    pages.write.parquet(f"{tmp_path}/pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages/*.parquet')")
+    found = con.execute(url_filter.oracle(url_filter.RULES))
+    names = [c[0] for c in found.description]
+    assert sorted(found.fetchall()) == sorted(tuple(r) for r in judged.select(*names).collect())
+
+
 def test_redirect_table_adds_edges_and_nothing_is_judged(spark):
     pages = _pages(spark, [(1, "http://a.org/1", None), (2, "http://b.org/2", None)])
     moved = spark.createDataFrame([("http://a.org/1", "http://bad.com/1"), (None, "http://b.org/2")], "source string, target string")

@@ -2,7 +2,7 @@
 
 A rule names a host (with its subdomains) and the beginning of a path; the longest fitting
 rule decides a url. Pages that point at each other by a canonical link or a refresh
-redirect are aliases: their connected components are found by distributed joins, and a
+redirect are aliases (every such tag counts; targets are resolved against the page): their connected components are found by distributed joins, and a
 block reaches every alias that no rule speaks about, unless a rule allows another alias of the component.
 """
 
@@ -26,17 +26,38 @@ def _after_scheme(url: str) -> str:
 # The texts below are read alike by Spark and DuckDB; the oracle of the query is made of them too.
 HOST = f"translate(regexp_extract(rest, '^[^/?#]*', 0), '{_UPPER}', '{_LOWER}')"
 PATH = "regexp_extract(rest, '^[^/?#]*([^?#]*)', 1)"
-# A page's name among its aliases: no scheme, no fragment, host in lower case.
-NAME = "host || regexp_extract(rest, '^[^/?#]*([^#]*)', 1)"
-_CANONICAL = "regexp_extract(coalesce(html, ''), '(?i)<link [^>]*rel *= *[^a-z>]?canonical[^>]*>', 0)"
-_REFRESH = "regexp_extract(coalesce(html, ''), '(?i)<meta [^>]*http-equiv *= *[^a-z>]?refresh[^>]*>', 0)"
-CANONICAL_LINK = f"""replace(regexp_extract({_CANONICAL}, '(?i) href *= *"?([^ >"]+)', 1), chr(39), '')"""
-REFRESH_LINK = f"""replace(regexp_extract({_REFRESH}, '(?i)url *= *([^ >"]+)', 1), chr(39), '')"""
+_TAGS = (
+    "(?i)<link [^>]*rel *= *[^a-z>]?canonical[^>]*>",
+    "(?i)<meta [^>]*http-equiv *= *[^a-z>]?refresh[^>]*>",
+)
+# All canonical links and refreshes of a page, and what one of them points at.
+TAGS = " || ".join(f"regexp_extract_all(coalesce(html, ''), '{tag}', 0)" for tag in _TAGS)
+_HREF = """regexp_extract(tag, '(?i) href *= *"?([^ >"]+)', 1)"""
+_REFRESH_URL = """regexp_extract(tag, '(?i)url *= *([^ >"]+)', 1)"""
+LINK = f"""replace(replace(CASE WHEN regexp_extract(tag, '(?i)^<link', 0) <> '' THEN {_HREF} ELSE {_REFRESH_URL} END,
+    chr(39), ''), '&amp;', '&')"""
 # What follows the scheme of a link's target, given the host and path of the page that holds it.
-TARGET = f"""CASE WHEN instr(link, '://') > 0 THEN {_after_scheme("link")}
+TARGET = f"""CASE WHEN regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://', 0) <> '' THEN {_after_scheme("link")}
     WHEN substr(link, 1, 2) = '//' THEN substr(link, 3)
     WHEN substr(link, 1, 1) = '/' THEN host || link
+    WHEN substr(link, 1, 1) = '?' THEN host || path || link
     ELSE host || regexp_extract(path, '^(.*/)?', 0) || CASE WHEN instr(path, '/') > 0 THEN '' ELSE '/' END || link END"""
+POINTS = "link <> '' AND substr(link, 1, 1) <> '#'"  # a fragment is the page itself
+
+
+def _name(fold: str) -> str:
+    """SQL: a page's name among its aliases: host in lower case, path, query; no scheme, no fragment; no host, no name.
+
+    An empty path is ``/``, and the segments ``.`` and ``..`` are resolved. ``fold`` is the engine's way to write a left fold
+    of ``{items}`` from ``''`` by a function of ``done`` and ``part`` whose body is ``{step}``.
+    """
+    step = "CASE part WHEN '.' THEN done WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || part END"
+    folded = fold.format(items=f"split(substr({PATH}, 2), '/')", step=step)
+    ends_open = f"CASE WHEN regexp_extract({PATH}, '/[.][.]?$', 0) <> '' THEN '/' ELSE '' END"
+    return f"CASE WHEN host = '' THEN '' ELSE host || {folded} || {ends_open} || regexp_extract(rest, '^[^?#]*([?][^#]*)', 1) END"
+
+
+NAME = _name("aggregate({items}, '', (done, part) -> {step})")
 
 
 def parse_urls(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -75,12 +96,8 @@ def deciding_rule(rules: list[tuple[str, str]]) -> Column:
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """Distinct edges ``a, b`` from each page's name to the names its canonical and refresh links point at."""
-    links = pages.select(
-        "name",
-        "host",
-        "path",
-        F.explode(F.array(F.expr(CANONICAL_LINK), F.expr(REFRESH_LINK))).alias("link"),
-    ).where("link <> ''")
+    tags = pages.select("name", "host", "path", F.explode(F.expr(TAGS)).alias("tag"))
+    links = tags.withColumn("link", F.expr(LINK)).where(POINTS)
     targets = links.select("name", F.expr(TARGET).alias("rest")).withColumn("host", F.expr(HOST))
     return targets.select(F.col("name").alias("a"), F.expr(NAME).alias("b")).where("host <> '' AND a <> ''").distinct()
 
@@ -149,6 +166,7 @@ RULES = [
 
 def oracle(rules: list[tuple[str, str]]) -> str:
     """DuckDB SQL for the query: rules by a join, components by recursion over the same edges."""
+    name = _name("list_reduce({items}, lambda done, part: {step}, '')")
     rows = ", ".join(f"('{r}', '{_rule_parts(r)[0]}', '{_rule_parts(r)[1]}', '{v}')" for r, v in rules)
     fitted = """SELECT n.*, (SELECT struct_pack(rule := r.rule, verdict := r.verdict) FROM rules r
         WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.start)
@@ -157,11 +175,12 @@ def oracle(rules: list[tuple[str, str]]) -> str:
 WITH RECURSIVE rules(rule, host, start, verdict) AS (VALUES {rows}),
 rested AS (SELECT page_id, html, coalesce({_after_scheme("url")}, '') AS rest FROM pages),
 hosted AS (SELECT *, {HOST} AS host, {PATH} AS path FROM rested),
-named AS (SELECT page_id, html, host, path, {NAME} AS name FROM hosted),
-links AS (SELECT name, host, path, unnest([{CANONICAL_LINK}, {REFRESH_LINK}]) AS link FROM named),
-targets AS (SELECT name AS a, {TARGET} AS rest FROM links WHERE link <> ''),
+named AS (SELECT page_id, html, host, path, {name} AS name FROM hosted),
+tags AS (SELECT name, host, path, unnest({TAGS}) AS tag FROM named),
+links AS (SELECT name, host, path, {LINK} AS link FROM tags),
+targets AS (SELECT name AS a, {TARGET} AS rest FROM links WHERE {POINTS}),
 ends AS (SELECT a, rest, {HOST} AS host FROM targets),
-edges AS (SELECT DISTINCT a, {NAME} AS b FROM ends WHERE host <> '' AND a <> ''),
+edges AS (SELECT DISTINCT a, {name} AS b FROM ends WHERE host <> '' AND a <> ''),
 reach(a, b) AS (
     SELECT a, b FROM edges UNION SELECT b, a FROM edges
     UNION SELECT r.a, e.b FROM reach r JOIN (SELECT a, b FROM edges UNION SELECT b, a FROM edges) e ON r.b = e.a),
