@@ -374,3 +374,18 @@ def test_language_identification(spark, folder, nothing):
     assert blank.labels == [] and langid.identify(nothing, blank).collect() == []
     assert {r["lang_pred"] for r in langid.identify(odd, blank).collect()} == {"und"}
     assert langid.keep_identified(odd, blank, 0.4).count() == 3
+
+
+def test_the_language_sample_is_drawn_from_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_PER_LABEL", 20)
+    copies = F.when(F.col("id") % 4 == 1, 7).otherwise(F.col("id"))  # label b is one row a thousand times
+    rows = spark.range(4000).select(copies.alias("id"), F.concat(F.lit("text "), copies.cast("string")).alias("text"), "id")
+    rows = rows.toDF("id", "text", "n").withColumn("lang", F.expr("CASE WHEN n % 4 = 1 THEN 'b' WHEN n IN (2, 6) THEN 'c' ELSE 'a' END"))
+    known = rows.drop("n").withColumn("draw", F.xxhash64("id", "text"))
+    thinned = langid._thinned(known)
+    assert sorted(thinned.columns) == sorted(known.columns)
+    left = {r["lang"]: r["count"] for r in thinned.groupBy("lang").count().collect()}
+    assert left["b"] == 1000 and left["c"] == 2 and 20 < left["a"] < 400
+    best = lambda df: [r["id"] for r in df.where("lang = 'a'").orderBy("draw", "id").limit(20).collect()]
+    assert best(thinned) == best(known)
+    assert langid._thinned(known.where("false")).collect() == []

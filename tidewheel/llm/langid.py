@@ -24,6 +24,7 @@ WINDOW = 64
 BATCH = 2048
 HIDDEN = 8
 SAMPLE_PER_LABEL = 500  # documents of each label that training may see
+SPARE = 8  # times as many are considered for it
 EXCERPTS, EXCERPT_CHARS = 4, 96
 STEPS = 200
 UNKNOWN = "und"
@@ -259,16 +260,29 @@ def held_out(doc_id: str):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def _thinned(known: DataFrame) -> DataFrame:
+    """Rows whose ``draw`` is small for their label: some SPARE x SAMPLE_PER_LABEL ids of each, whatever the input.
+
+    They hold the SAMPLE_PER_LABEL smallest draws (but for a chance below 1e-100), so the sample stays as it is, and the task
+    that orders a label's rows meets no more ids when the input grows. Labels of fewer ids keep all rows: ids are counted, not
+    rows, because a label may consist of copies. The counts are small sketches per label, merged from all tasks.
+    """
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("id").alias("_ids"))  # one row per label
+    share = F.lit(float(SPARE * SAMPLE_PER_LABEL)) / F.col("_ids")
+    small = F.col("draw") / F.lit(2.0**64) + 0.5 <= share  # draws spread evenly over the 64-bit integers
+    return known.join(counts, "lang").where((share >= 1) | small).drop("_ids")
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Train on a sample of labelled rows that are not held out.
 
-    The driver gets SAMPLE_PER_LABEL rows of each label at most, drawn by a hash of the id,
+    The driver gets SAMPLE_PER_LABEL rows of each label at most, those with the smallest hash of id and text,
     and of each EXCERPTS pieces of EXCERPT_CHARS characters. Training costs the same for every
     input size. Without labelled rows the model knows no label.
     """
     known = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     known = known.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("id").isNotNull())
-    known = known.where(~held_out("id")).withColumn("draw", F.xxhash64("id", "text"))
+    known = _thinned(known.where(~held_out("id")).withColumn("draw", F.xxhash64("id", "text")))
     room = F.greatest(F.char_length("text") - EXCERPT_CHARS, F.lit(0)) + 1
     excerpts = F.array(
         *[F.substring("text", (F.pmod(F.xxhash64("id", F.lit(k)), room) + 1).cast("int"), F.lit(EXCERPT_CHARS))
